@@ -32,7 +32,7 @@ def wide_runs(spark, folder):
 # ---- labels and scalar columns ---------------------------------------------
 
 
-@query("runtime_minutes", with_views("runs", "SELECT run_id, scores.round_even(runtime_min, 2) AS runtime_min FROM runs"))
+@query("runtime_minutes", with_views("runs", "SELECT run_id, round_even(runtime_min, 2) AS runtime_min FROM runs"))
 def _(spark, folder):
     return views.runs(spark, folder).select("run_id", scores.round_even("runtime_min", 2).alias("runtime_min"))
 
@@ -188,7 +188,7 @@ def _(spark, folder):
     "round_metrics",
     with_views(
         "run_metrics",
-        "SELECT run_id, key, step, scores.round_even(value, 4) AS value4, scores.round_even(value, 3) AS value3 FROM run_metrics",
+        "SELECT run_id, key, step, round_even(value, 4) AS value4, round_even(value, 3) AS value3 FROM run_metrics",
     ),
 )
 def _(spark, folder):
@@ -287,7 +287,7 @@ def _(spark, folder):
 
 @query(
     "runtime_present",
-    with_views("runs", "SELECT run_id, scores.round_even(runtime_min, 2) AS runtime_min FROM runs WHERE runtime_min > 0"),
+    with_views("runs", "SELECT run_id, round_even(runtime_min, 2) AS runtime_min FROM runs WHERE runtime_min > 0"),
 )
 def _(spark, folder):
     kept = ops.with_runtime(views.runs(spark, folder), positive=True)
@@ -622,8 +622,8 @@ _TABLE_METRICS = ["metric_test_accuracy", "metric_test_f1_score", "metric_loss"]
         "wide_runs",
         "SELECT CASE WHEN len(run_name) > 50 THEN concat(substr(run_name, 1, 50), '...') ELSE run_name END "
         "AS experiment, concat(substr(CAST(run_id AS VARCHAR), 1, 8), '...') AS task_id, status, "
-        "scores.round_even(nullif(runtime_min, 0), 2) AS runtime_min, strftime(created, '%Y-%m-%d %H:%M') AS created, "
-        + ", ".join(f"scores.round_even({c}, 4) AS {c}" for c in _TABLE_METRICS)
+        "round_even(nullif(runtime_min, 0), 2) AS runtime_min, strftime(created, '%Y-%m-%d %H:%M') AS created, "
+        + ", ".join(f"round_even({c}, 4) AS {c}" for c in _TABLE_METRICS)
         + " FROM wide_runs",
     ),
 )
@@ -636,10 +636,10 @@ def _(spark, folder):
     with_views(
         "wide_runs",
         "SELECT run_id, run_name AS experiment, status, "
-        "scores.round_even(CASE WHEN runtime_min > 0 THEN runtime_min END, 2) AS runtime_min, "
+        "round_even(CASE WHEN runtime_min > 0 THEN runtime_min END, 2) AS runtime_min, "
         "strftime(created, '%Y-%m-%d %H:%M') AS created, "
-        "scores.round_even(coalesce(metric_cv_mean_accuracy, metric_test_accuracy), 4) AS accuracy, "
-        "scores.round_even(metric_test_f1_score, 4) AS f1_score FROM wide_runs",
+        "round_even(coalesce(metric_cv_mean_accuracy, metric_test_accuracy), 4) AS accuracy, "
+        "round_even(metric_test_f1_score, 4) AS f1_score FROM wide_runs",
     ),
 )
 def _(spark, folder):
@@ -671,7 +671,7 @@ def _(spark, folder):
 
 @query(
     "sort_by_time",
-    with_views("runs", "SELECT run_id, scores.round_even(runtime_min, 2) AS runtime_min FROM runs WHERE runtime_min IS NOT NULL"),
+    with_views("runs", "SELECT run_id, round_even(runtime_min, 2) AS runtime_min FROM runs WHERE runtime_min IS NOT NULL"),
 )
 def _(spark, folder):
     timed = ops.with_runtime(views.runs(spark, folder)).orderBy("runtime_min", "run_id")
