@@ -96,31 +96,45 @@ def tokens(c: Column | str, stop_words: list[str] | None = None, lowercase: bool
 
 
 def ngrams(words: Column | str, low: int, high: int) -> Column:
-    """All n-grams of an array of words for low <= n <= high, shortest first."""
+    """All n-grams of an array of words for low <= n <= high, shortest first.
+
+    Each length extends the one before it by the word that follows, pairing two
+    arrays. No lambda looks at a whole array, so the cost stays linear even
+    where the optimizer copies the expression into a filter.
+    """
     words = _col(words)
-    grams = []
-    for n in range(low, high + 1):
-        if n == 1:
-            grams.append(words)
-            continue
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        joined = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, F.lit(n)), " "))
-        grams.append(F.coalesce(joined, F.array().cast("array<string>")))
+    by_length = [words]
+    for n in range(2, high + 1):
+        shorter = by_length[-1]
+        room = F.greatest(F.size(words) - (n - 1), F.lit(0))
+        by_length.append(
+            F.zip_with(
+                F.slice(shorter, F.lit(1), room),
+                F.slice(words, F.lit(n), room),
+                lambda gram, word: F.concat(gram, F.lit(" "), word),
+            )
+        )
+    grams = by_length[low - 1 :]
     return grams[0] if len(grams) == 1 else F.concat(*grams)
 
 
-def counted(items: Column | str) -> Column:
-    """Array of items to array of `struct(item, n)`, one per distinct item.
-
-    Expects a *sorted* array: a run starts where an item differs from the one
-    before it, and its length is the distance to the next start. No shuffle.
-    """
+def run_starts(items: Column | str) -> Column:
+    """Sorted array of items to array of `struct(item, at)`: where each new item starts."""
     items = _col(items)
-    positions = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1))
-    starts = F.filter(
-        positions, lambda i: (i == 0) | (F.get(items, i) != F.get(items, i - 1))
+    before = F.concat(F.array(F.lit(None).cast("string")), items)
+    placed = F.zip_with(
+        F.transform(items, lambda item, i: F.struct(item.alias("item"), i.alias("at"))),
+        F.slice(before, F.lit(1), F.size(items)),
+        lambda place, previous: F.when(~place["item"].eqNullSafe(previous), place),
     )
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(items)), F.array(F.size(items)))
+    return F.array_compact(placed)
+
+
+def run_lengths(starts: Column | str, length: Column) -> Column:
+    """Array of `struct(item, n)` from run starts: a run ends where the next one starts."""
+    starts = _col(starts)
+    later = F.slice(starts["at"], F.lit(2), F.greatest(F.size(starts), F.lit(1)))
+    ends = F.slice(F.concat(later, F.array(length)), F.lit(1), F.size(starts))
     return F.zip_with(
-        starts, ends, lambda s, e: F.struct(F.get(items, s).alias("item"), (e - s).alias("n"))
+        starts, ends, lambda start, end: F.struct(start["item"].alias("item"), (end - start["at"]).alias("n"))
     )

@@ -16,6 +16,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from foliospark.functions import text
 from foliospark.functions.stopwords import english_stop_words
@@ -37,9 +38,18 @@ def with_grams(
 
 
 def term_counts(df: DataFrame, id_column: str, grams: str = "grams") -> DataFrame:
-    """Rows `(id, term, tf)`. The counting happens inside each row, without a shuffle."""
+    """Rows `(id, term, tf)`. The counting happens inside each row, without a shuffle.
+
+    The outer form of explode keeps the optimizer from adding a second
+    evaluation of the whole array as a not-empty filter.
+    """
     ordered = df.select(id_column, F.sort_array(grams).alias("_sorted"))
-    return ordered.select(id_column, F.explode(text.counted("_sorted")).alias("_pair")).select(
+    starts = ordered.select(
+        id_column, text.run_starts("_sorted").alias("_starts"), F.size("_sorted").alias("_size")
+    )
+    runs = text.run_lengths("_starts", F.col("_size"))
+    pairs = starts.select(id_column, F.explode_outer(runs).alias("_pair"))
+    return pairs.where(F.col("_pair").isNotNull()).select(
         id_column, F.col("_pair.item").alias("term"), F.col("_pair.n").alias("tf")
     )
 
@@ -84,16 +94,10 @@ def tfidf(counts: DataFrame, vocabulary: DataFrame, n_docs: Column, id_column: s
     weighted = counts.join(vocabulary, "term").select(
         id_column, "term", (F.col("tf") * inverse_document_frequency("df", n_docs)).alias("_w")
     )
-    lengths = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(_by(id_column)))
+    lengths = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_column)))
     return weighted.select(id_column, "term", F.try_divide("_w", lengths).alias("tfidf"))
 
 
-def _by(column: str):
-    from pyspark.sql.window import Window
-
-    return Window.partitionBy(column)
-
-
 def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.na.fill(0, subset=list(columns))
 
