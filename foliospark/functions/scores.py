@@ -159,10 +159,10 @@ def threshold_flags(accuracy: Column | str, f1: Column | str, threshold: float =
 def split_hash(key: Column | str, seed: int = 42) -> Column:
     """Fraction in [0, 1) from an integer key: stable under any repartitioning.
 
-    Multiplication modulo a prime, on a key reduced first so that no key of any
-    size overflows. Plain arithmetic, so every SQL engine agrees on it.
+    Two multiplications modulo a prime, on a key reduced first so that no key of
+    any size overflows. Plain arithmetic, so every SQL engine agrees on it.
     """
-    # The prime 2^31 - 1 and two multipliers of a Lehmer generator.
-    prime = 2147483647
-    mixed = F.pmod(_col(key), F.lit(prime)) * F.lit(48271) + F.lit(seed * 69621)
-    return F.pmod(mixed, F.lit(prime)) / F.lit(prime)
+    # The prime 2^31 - 1 and the multipliers of two linear generators.
+    prime = F.lit(2147483647)
+    once = F.pmod(F.pmod(_col(key).cast("bigint"), prime) * F.lit(1103515245) + F.lit(seed * 12345), prime)
+    return F.pmod(once * F.lit(48271) + F.lit(11), prime) / prime

@@ -183,7 +183,8 @@ def _(spark, folder):
 
 
 def _hash_sql(seed: int = 42) -> str:
-    return f"((doc_id % 2147483647) * 48271 + {seed * 69621}) % 2147483647 / 2147483647e0"
+    once = f"((doc_id % 2147483647) * 1103515245 + {seed * 12345}) % 2147483647"
+    return f"({once} * 48271 + 11) % 2147483647 / 2147483647e0"
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import scores, text
 from foliospark.operators import profile, publications as pubs
 from foliospark.queries.registry import query
-from foliospark.queries.views import AS_OF_YEAR, publications, table, with_views
+from foliospark.queries.views import AS_OF_YEAR, publications, table, text_table, with_views
 
 _NON_WORD = r"[^\p{L}\p{N}_\t-\r\x{1C}-\x{20}\x{85}\p{Z}]"
 _SPACE = r"[\t-\r\x{1C}-\x{20}\x{85}\p{Z}]+"
@@ -67,7 +67,7 @@ _BARE_SQL = (
 
 @query("clean_text_markup", f"SELECT page_id, {_clean_sql(_BARE_SQL)} AS cleaned FROM pages")
 def _(spark, folder):
-    return table(spark, folder, "pages").select("page_id", text.clean_text_markup("html").alias("cleaned"))
+    return text_table(spark, folder, "pages").select("page_id", text.clean_text_markup("html").alias("cleaned"))
 
 
 @query(

@@ -1 +1,97 @@
-"""Queries."""
+"""Streaming queries: each runs the stream to its end and reads its sink back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foliospark.operators import monitor
+from foliospark.plans.scratch import new_path
+from foliospark.queries import views
+from foliospark.queries.monitoring import _WINDOW_COLUMNS
+from foliospark.queries.registry import query
+from foliospark.queries.sources import PLAIN_FEED_SQL, written_feed
+from foliospark.queries.views import with_views
+from foliospark.schemas import PUBLICATION
+from foliospark.streaming import jobs
+
+
+def _streamed(spark, df, label):
+    """A table as a stream of the files it is written to."""
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    return jobs.read_stream(spark, path, df.schema)
+
+
+def _status_stream(spark, folder):
+    statuses = views.statuses(spark, folder).select(F.col("ts").cast("timestamp").alias("ts"), "status")
+    return _streamed(spark, statuses, "statuses")
+
+
+@query(
+    "stream_status_windows",
+    with_views("status_windows", f"SELECT w AS window_start, {_WINDOW_COLUMNS} FROM status_windows"),
+)
+def _(spark, folder):
+    out = new_path(spark, "windows")
+    jobs.status_windows(_status_stream(spark, folder), out, new_path(spark, "checkpoint"))
+    latest = jobs.latest_windows(spark, out)
+    return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query(
+    "stream_snapshots",
+    with_views(
+        "statuses",
+        """SELECT count(*) FILTER (status <> 'queued') AS total_tasks,
+                  count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed,
+                  count(*) FILTER (status = 'running') AS running, count(*) FILTER (status = 'stopped') AS stopped
+           FROM statuses""",
+    ),
+)
+def _(spark, folder):
+    out = new_path(spark, "snapshots")
+    jobs.append_snapshots(_status_stream(spark, folder), out, new_path(spark, "checkpoint"))
+    newest = monitor.history(spark.read.parquet(out), "snapshot")
+    return newest.groupBy().agg(
+        *[F.sum(c).alias(c) for c in ("total_tasks", "completed", "failed", "running", "stopped")]
+    )
+
+
+@query("stream_ingest", PLAIN_FEED_SQL)
+def _(spark, folder):
+    out = new_path(spark, "publications")
+    jobs.ingest_feed(spark, written_feed(spark, folder), out, new_path(spark, "checkpoint"))
+    return spark.read.schema(PUBLICATION).parquet(out)
+
+
+_MAX_HOURS = 24 * 60
+
+
+@query(
+    "stream_timeouts",
+    with_views(
+        "runs",
+        f""", edge AS (SELECT least(max(created), max(completed)) - INTERVAL 1 HOUR AS watermark FROM runs)
+           SELECT run_id, created AS started, created + INTERVAL {_MAX_HOURS} HOUR AS deadline FROM runs, edge
+           WHERE created + INTERVAL {_MAX_HOURS} HOUR < watermark
+             AND (completed IS NULL OR completed > created + INTERVAL {_MAX_HOURS} HOUR)""",
+    ),
+)
+def _(spark, folder):
+    runs = views.runs(spark, folder)
+    starts = runs.select("run_id", F.col("created").cast("timestamp").alias("started"))
+    ends = runs.where(F.col("completed").isNotNull()).select(
+        "run_id", F.col("completed").cast("timestamp").alias("ended")
+    )
+    out = new_path(spark, "timeouts")
+    jobs.watch_timeouts(
+        _streamed(spark, starts, "starts"),
+        _streamed(spark, ends, "ends"),
+        _MAX_HOURS,
+        out,
+        new_path(spark, "checkpoint"),
+    )
+    late = spark.read.parquet(out)
+    return late.select(
+        "run_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "deadline")]
+    )

@@ -25,9 +25,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores where its scan has too few splits.
+
+    At scale a scan has far more splits than cores and nothing is moved.
+    """
+    scan = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def publications(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as publication records: title is the first line, abstract the whole text."""
-    return table(spark, folder, "documents").selectExpr(
+    return text_table(spark, folder, "documents").selectExpr(
         "doc_id",
         "cast(doc_id as string) as arxiv_id",
         "split_part(text, '\n', 1) as title",

@@ -8,37 +8,53 @@ from pyspark.sql import types as T
 
 from foliospark.functions.text import missing_to_null
 
+_STRING, _INT, _LONG, _DOUBLE, _DATE = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(),
+)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A nullable struct type; needs no running session, unlike a DDL string."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 # Column names, order and types of the publication table.
-PUBLICATION = T.StructType.fromDDL(
-    "title string, authors string, journal string, year int, doi string, abstract string, "
-    "keywords string, cited_by bigint, methodology string, dataset_used string, "
-    "arxiv_id string, arxiv_categories string, published_date date, updated_date date, "
-    "pdf_url string, arxiv_url string"
+PUBLICATION = struct(
+    title=_STRING, authors=_STRING, journal=_STRING, year=_INT, doi=_STRING, abstract=_STRING,
+    keywords=_STRING, cited_by=_LONG, methodology=_STRING, dataset_used=_STRING,
+    arxiv_id=_STRING, arxiv_categories=_STRING, published_date=_DATE, updated_date=_DATE,
+    pdf_url=_STRING, arxiv_url=_STRING,
 )
 
 # One entry of an Atom feed as Spark's XML reader names it.
-FEED_ENTRY = T.StructType.fromDDL(
-    "id string, title string, summary string, published string, updated string, "
-    "author array<struct<name: string>>, category array<struct<_term: string>>, "
-    "link array<struct<_href: string, _title: string>>, "
-    "`arxiv:journal_ref` string, `arxiv:doi` string"
+FEED_ENTRY = struct(
+    id=_STRING, title=_STRING, summary=_STRING, published=_STRING, updated=_STRING,
+    author=T.ArrayType(struct(name=_STRING)),
+    category=T.ArrayType(struct(_term=_STRING)),
+    link=T.ArrayType(struct(_href=_STRING, _title=_STRING)),
+    **{"arxiv:journal_ref": _STRING, "arxiv:doi": _STRING},
 )
 
 # The run tables.
-RUN = T.StructType.fromDDL(
-    "run_id string, experiment_id string, run_name string, status int, "
-    "start_time bigint, end_time bigint, lifecycle_stage string"
+RUN = struct(
+    run_id=_STRING, experiment_id=_STRING, run_name=_STRING, status=_INT,
+    start_time=_LONG, end_time=_LONG, lifecycle_stage=_STRING,
 )
-RUN_PARAM = T.StructType.fromDDL("run_id string, key string, value string")
-RUN_METRIC = T.StructType.fromDDL("run_id string, key string, ts bigint, value double, step int")
+RUN_PARAM = struct(run_id=_STRING, key=_STRING, value=_STRING)
+RUN_METRIC = struct(run_id=_STRING, key=_STRING, ts=_LONG, value=_DOUBLE, step=_INT)
 
 # The metrics file of one experiment.
-EXPERIMENT_RESULT = T.StructType.fromDDL(
-    "cross_validation struct<mean_score: double, std_score: double, scores: array<double>>, "
-    "test_metrics struct<accuracy: double, precision: double, recall: double, "
-    "f1_score: double, roc_auc: double>, "
-    "model_info struct<algorithm: string, training_samples: int, test_samples: int, "
-    "features: int, classes: int>, training_date string"
+EXPERIMENT_RESULT = struct(
+    cross_validation=struct(
+        mean_score=_DOUBLE, std_score=_DOUBLE, scores=T.ArrayType(_DOUBLE)
+    ),
+    test_metrics=struct(
+        accuracy=_DOUBLE, precision=_DOUBLE, recall=_DOUBLE, f1_score=_DOUBLE, roc_auc=_DOUBLE
+    ),
+    model_info=struct(
+        algorithm=_STRING, training_samples=_INT, test_samples=_INT, features=_INT, classes=_INT
+    ),
+    training_date=_STRING,
 )
 
 
