@@ -83,13 +83,15 @@ def assemble_runs(
     """
     metric_keys = key_list(metrics) if metric_keys is None else metric_keys
     param_keys = key_list(params) if param_keys is None else param_keys
-    out = runs.join(wide(metrics, metric_keys, "metric_", metric_order), "run_id", "left")
-    out = out.join(wide(params, param_keys, "param_"), "run_id", "left")
+    parts = [(metrics, metric_keys, "metric_", metric_order), (params, param_keys, "param_", None)]
     if tags is not None:
         user = tags.where(~F.col("key").startswith(SYSTEM_TAG_PREFIX))
         tag_keys = key_list(user) if tag_keys is None else tag_keys
-        out = out.join(wide(user, tag_keys, "tag_"), "run_id", "left")
-    return out
+        parts.append((user, tag_keys, "tag_", None))
+    for long, keys, prefix, order in parts:
+        if keys:
+            runs = runs.join(wide(long, keys, prefix, order), "run_id", "left")
+    return runs
 
 
 def with_maps(runs: DataFrame) -> DataFrame:
