@@ -240,7 +240,7 @@ def _(spark, folder):
 
 
 def _requested(spark, folder):
-    """Run ids another table asks for, the latest part of the list first; some do not exist."""
+    """Run ids another table asks for, in its order; not every one exists."""
     return table(spark, folder, "events").selectExpr("event_id * 2 as run_id", "event_id as pos")
 
 
