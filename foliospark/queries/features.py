@@ -44,7 +44,7 @@ def _text_sql(body: str) -> str:
 
 
 def gram_table(spark, folder, ngram_range=(1, 2)):
-    return features.with_grams(views.publications(spark, folder), TEXT_COLUMNS, ngram_range)
+    return features.with_grams(views.publications(spark, folder, spread=True), TEXT_COLUMNS, ngram_range)
 
 
 def _counts_and_vocabulary(spark, folder):

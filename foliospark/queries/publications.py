@@ -56,7 +56,7 @@ def _words_sql(c: str) -> str:
 
 @query("clean_text", with_views("publications", f"SELECT doc_id, {_clean_sql('abstract')} AS cleaned FROM publications"))
 def _(spark, folder):
-    return publications(spark, folder).select("doc_id", text.clean_text("abstract").alias("cleaned"))
+    return publications(spark, folder, spread=True).select("doc_id", text.clean_text("abstract").alias("cleaned"))
 
 
 _BARE_SQL = (
@@ -79,7 +79,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return publications(spark, folder).select(
+    return publications(spark, folder, spread=True).select(
         "doc_id",
         text.clean_text("title").alias("title_cleaned"),
         text.clean_text("abstract").alias("abstract_cleaned"),
@@ -95,7 +95,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return publications(spark, folder).select(
+    return publications(spark, folder, spread=True).select(
         "doc_id",
         F.array_join(text.keywords_list("keywords"), "|").alias("keywords"),
         F.array_join(text.keywords_list("authors"), "|").alias("authors"),
@@ -211,7 +211,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return publications(spark, folder).select(
+    return publications(spark, folder, spread=True).select(
         "doc_id",
         text.word_count("title").alias("title_words"),
         text.word_count("abstract").alias("abstract_words"),
@@ -280,7 +280,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return pubs.metadata_features(publications(spark, folder)).select(
+    return pubs.metadata_features(publications(spark, folder, spread=True)).select(
         "doc_id", "title_length", "title_word_count", "abstract_length", "abstract_word_count",
         "author_count", "category_count", "publication_year", "publication_month", "publication_dow",
     )
@@ -308,13 +308,13 @@ _DERIVED_SQL = f"""
     ),
 )
 def _(spark, folder):
-    derived = pubs.drop_incomplete(pubs.derive_publications(publications(spark, folder), AS_OF_YEAR))
+    derived = pubs.drop_incomplete(pubs.derive_publications(publications(spark, folder, spread=True), AS_OF_YEAR))
     return derived.withColumn("keywords_list", F.array_join("keywords_list", "|"))
 
 
 def length_by_bin(spark, folder):
     """Count, mean length and mean score per abstract bin of the complete publications."""
-    derived = pubs.derive_publications(publications(spark, folder), AS_OF_YEAR)
+    derived = pubs.derive_publications(publications(spark, folder, spread=True), AS_OF_YEAR)
     return (
         pubs.drop_incomplete(derived)
         .groupBy("abstract_category")

@@ -35,9 +35,13 @@ def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def publications(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as publication records: title is the first line, abstract the whole text."""
-    return text_table(spark, folder, "documents").selectExpr(
+def publications(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """Documents as publication records: title is the first line, abstract the whole text.
+
+    `spread` is for work on the texts that is heavier than their scan.
+    """
+    documents = (text_table if spread else table)(spark, folder, "documents")
+    return documents.selectExpr(
         "doc_id",
         "cast(doc_id as string) as arxiv_id",
         "split_part(text, '\n', 1) as title",
