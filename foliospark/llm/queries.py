@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.llm.jaccard import link_similar
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.quality import rate_quality
 from foliospark.queries.registry import Query, Run
@@ -112,3 +113,37 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE split AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           list_filter(string_split_regex({_LOWER_SQL.format("coalesce(text, '')")},
+                                          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+sets AS MATERIALIZED (
+    SELECT rid, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3]
+                            for i in generate_series(1, len(w) - 3)]) END AS s
+    FROM split),
+grams AS MATERIALIZED (SELECT rid, unnest(s) AS g FROM sets),
+shared AS (
+    SELECT a.rid AS a, b.rid AS b, count(*) AS nb FROM grams a JOIN grams b USING (g)
+    WHERE a.rid < b.rid GROUP BY a.rid, b.rid),
+links AS MATERIALIZED (
+    SELECT a, b FROM shared o JOIN sets x ON x.rid = a JOIN sets y ON y.rid = b
+    WHERE 100 * nb >= 85 * (len(x.s) + len(y.s) - nb)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT rid AS origin, rid AS node FROM sets
+    UNION SELECT origin, b FROM reach JOIN edges ON a = node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM reach JOIN sets s ON s.rid = origin JOIN sets o ON o.rid = node
+GROUP BY s.rid, s.doc_id, s.s
+"""
+
+
+@query("op9_ngram_jaccard", JACCARD_SQL)
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = link_similar(documents(spark, folder).select("doc_id", "text"), size=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
