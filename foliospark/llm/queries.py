@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.llm.decontam import find_leaks
 from foliospark.llm.jaccard import link_similar
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.quality import rate_quality
@@ -147,3 +148,10 @@ GROUP BY s.rid, s.doc_id, s.s
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     found = link_similar(documents(spark, folder).select("doc_id", "text"), size=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = find_leaks(documents(spark, folder).select("doc_id", "text"), benchmark)
+    return found.select("doc_id", "item_id", "n_agree", "n_span", "at_word")
