@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm.decontam import find_leaks
 from foliospark.llm.jaccard import link_similar
+from foliospark.llm.langid import fit, identify
 from foliospark.llm.linededup import dedup_lines
+from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
 from foliospark.queries.registry import Query, Run
 
@@ -155,3 +158,23 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
     found = find_leaks(documents(spark, folder).select("doc_id", "text"), benchmark)
     return found.select("doc_id", "item_id", "n_agree", "n_span", "at_word")
+
+
+def held_out() -> Column:
+    """Rows that no model may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query("op3_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = fit(docs.where(~held_out()))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(documents(spark, folder).select("doc_id", "text"), tokenizer)
