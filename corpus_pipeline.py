@@ -1,30 +1,98 @@
-"""The stages a corpus goes through, each on all that its predecessor kept."""
+"""The stages a corpus goes through, each on all that its predecessor kept.
+
+Every stage takes and returns the columns of documents (the last one returns pieces),
+loses no row but those it rejects, and treats a null or empty text as an empty
+document.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.llm.decontam import find_leaks
+from foliospark.llm.jaccard import link_similar
+from foliospark.llm.langid import UNKNOWN, fit, identify
 from foliospark.llm.linededup import dedup_lines
+from foliospark.llm.packing import pack
 from foliospark.plans.scratch import written
 
 ORACLE_SQL = None  # language models and tokenizers are beyond SQL
 
+#: A document goes if no known language has at least this share of it.
+LEAST_SHARE = 0.4
+MIN_DOCS = 10
+SHINGLE, PERCENT = 4, 85
+TOKENIZER = "byte_bpe_50k.json"
+#: A text with a word: the n-gram join links all others with nothing.
+_SOME_WORD = "[^\\x20\\x09-\\x0D]"
+
+
+def _learnable() -> Column:
+    """Rows that a model may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.lit(True))
 
-def _with_text(kept: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of the documents, with the text that a stage kept."""
-    out = kept.withColumn("text", F.col("kept_text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*columns)
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters and those of no known language go."""
+    model = fit(docs.where(_learnable()).select("text", "lang"))
+    found = identify(docs.withColumn("_text", F.col("text")), model, text="_text")
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    return found.where(known).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share go; every document stays."""
-    return _with_text(dedup_lines(docs, min_docs=10), docs.columns)
+    kept = dedup_lines(docs, min_docs=MIN_DOCS).withColumn("text", F.col("kept_text"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
+    return kept.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays.
+
+    Documents without words are no duplicates of each other and stay.
+    """
+    linked = link_similar(docs.select("doc_id", "text"), size=SHINGLE, percent=PERCENT)
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key")))
+    stay = (
+        linked.where(F.col("class_key").isNotNull())
+        .groupBy("class_key")
+        .agg(first.alias("f"))
+        .select(F.col("f.doc_id").alias("_doc"), F.col("f.text_key").alias("_key"))
+    )
+    wordy = F.coalesce(F.col("text").rlike(_SOME_WORD), F.lit(False))
+    keyed = docs.where(wordy).withColumn("_key", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (keyed["_key"] == stay["_key"])
+    kept = keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return kept.select(*docs.columns).unionByName(docs.where(~wordy))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = find_leaks(docs.select("doc_id", "text"), benchmark).select(
+        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")
+    )
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    leaked = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
+    return keyed.join(written(leaks.distinct(), "leaks"), leaked, "left_anti").select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces of sequences of 2048 tokens."""
+    return pack(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [("line dedup", line_dedup)]
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
