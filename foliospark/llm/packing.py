@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliospark.llm.numbering import numbered
-from foliospark.llm.texts import plain
+from foliospark.llm.texts import plain, small_batches
 from foliospark.plans.scratch import written
 
 CAPACITY = 2048
@@ -126,7 +126,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
 _encoders: dict[str, Callable[[str], np.ndarray]] = {}
 
 
-def _byte_of() -> dict[str, int]:
+def byte_characters() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for.
 
     Printable bytes stand for themselves, the others for characters from 256 on.
@@ -168,7 +168,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             return ranks.encode_to_numpy(text, disallowed_special=())
 
         if ranked:
-            byte = _byte_of()
+            byte = byte_characters()
             known = {bytes(byte[c] for c in t): i for t, i in vocab.items() if t not in special}
             ranks = tiktoken.Encoding(
                 path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={}
@@ -236,6 +236,7 @@ def pack(
     are packed each. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     cut = docs.select(F.col(key).alias("doc"), F.explode(tokenized(tokenizer, capacity)(F.col(text))).alias("p"))
     pieces = written(cut.select(F.monotonically_increasing_id().alias("row"), "doc", "p.*"), "pieces")
     sizes = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # capacity rows at most

@@ -12,6 +12,7 @@ from foliospark.llm.langid import fit, identify
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
+from foliospark.llm.tokencount import with_token_counts
 from foliospark.queries.registry import Query, Run
 
 LLM: dict[str, Query] = {}
@@ -178,3 +179,10 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return pack(documents(spark, folder).select("doc_id", "text"), tokenizer)
+
+
+@query("op7_token_counts")
+def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return with_token_counts(docs, tokenizer).select("doc_id", "n_bytes", "n_tokens", "over_limit")

@@ -12,8 +12,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 1 << 20  # texts handled at once; a longer text is a slice of its own
+SLICE_BYTES = 1 << 18  # texts handled at once; a longer text is a slice of its own
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -48,6 +51,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of at most BATCH_ROWS rows.
+
+    Spark's default of 10,000 rows suits numbers; as many whole texts, and what
+    is made of them, would be held by the executor and by its Python worker at once.
+    """
+    rows = int(spark.conf.get(_ROWS))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_ROWS, BATCH_ROWS)
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run values[starts[i]:ends[i]], the same wherever the run stands.
+
+    Differences of one running sum, so the cost does not depend on how runs lie.
+    """
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _table(_BASE, len(values)), out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _table(_INVERSE, len(values) + 1)[starts])
+
+
 class Words(NamedTuple):
     """The words of a slice of texts; text i has the words first[i] to first[i + 1]."""
 
@@ -97,11 +121,7 @@ def words(texts: pa.Array, letters: np.ndarray) -> Words:
     heads, tails = offsets[:-1][some], offsets[1:][some] - 1
     first[heads], last[tails] = inside[heads], inside[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    weighted = (data.astype(np.uint64) + np.uint64(1)) * _table(_BASE, len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(weighted, out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _table(_INVERSE, len(data) + 1)[starts]
-    return Words(mixed(hashes), np.searchsorted(starts, offsets), starts, ends, data)
+    return Words(run_hashes(data, starts, ends), np.searchsorted(starts, offsets), starts, ends, data)
 
 
 def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
