@@ -12,6 +12,7 @@ from foliospark.llm.langid import fit, identify
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
+from foliospark.llm.sharding import shard
 from foliospark.llm.tokencount import with_token_counts
 from foliospark.queries.registry import Query, Run
 
@@ -186,3 +187,11 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return with_token_counts(docs, tokenizer).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query("op8_best_fit_sharding")
+def best_fit_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard(documents(spark, folder).select("doc_id", "text")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
