@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from foliospark.llm.decontam import find_leaks
 from foliospark.llm.jaccard import link_similar
 from foliospark.llm.langid import fit, identify
+from foliospark.llm.licenses import scan_licenses
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
@@ -195,3 +196,10 @@ def best_fit_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op1_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(documents(spark, folder).select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
