@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.llm import toxicity
 from foliospark.llm.decontam import find_leaks
 from foliospark.llm.jaccard import link_similar
 from foliospark.llm.langid import fit, identify
@@ -203,3 +204,13 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(documents(spark, folder).select("doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
+
+
+@query("op2_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~held_out()).join(labels, "doc_id"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted"
+    )
