@@ -157,12 +157,11 @@ def threshold_flags(accuracy: Column | str, f1: Column | str, threshold: float =
 
 
 def split_hash(key: Column | str, seed: int = 42) -> Column:
-    """Fraction in [0, 1) from an integer key: stable under any repartitioning.
+    """Fraction in [0, 1) from a key of any type: stable under any repartitioning.
 
-    Two multiplications modulo a prime, on a key reduced first so that no key of
-    any size overflows. Plain arithmetic, so every SQL engine agrees on it.
+    The first 52 bits of a digest of the key's text and the seed, so it follows no
+    pattern in the keys and every SQL engine agrees on it. A null key counts as ''.
     """
-    # The prime 2^31 - 1 and the multipliers of two linear generators.
-    prime = F.lit(2147483647)
-    once = F.pmod(F.pmod(_col(key).cast("bigint"), prime) * F.lit(1103515245) + F.lit(seed * 12345), prime)
-    return F.pmod(once * F.lit(48271) + F.lit(11), prime) / prime
+    text = F.concat(F.coalesce(_col(key).cast("string"), F.lit("")), F.lit(f"|{seed}"))
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    return bits / F.lit(float(2**52))

@@ -23,26 +23,23 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.scores import split_hash
 from foliospark.operators import evaluate, features
-from foliospark.plans.ordering import running_totals
+from foliospark.plans.ordering import join_null_safe, running_totals
 
 RANDOM_FOREST = "RandomForestClassifier"
 SVM = "SVM"
 LOGISTIC = "LogisticRegression"
 
-# Training defaults per algorithm. An iteration of MLlib's solver is a
-# pass over all rows, so its limit is lower than that of a coordinate solver.
+# Training defaults per algorithm. Solvers stop by their tolerance; the
+# limits of iterations are there for fits that never would.
 DEFAULTS: dict[str, dict[str, Any]] = {
     RANDOM_FOREST: {
         "n_estimators": 100, "max_depth": 10, "min_samples_leaf": 2,
         "max_features": "sqrt", "bootstrap": True,
     },
-    SVM: {"kernel": "rbf", "C": 1.0, "max_iter": 30},
-    LOGISTIC: {"penalty": "l2", "C": 1.0, "max_iter": 100, "solver": "liblinear"},
+    SVM: {"kernel": "rbf", "C": 1.0, "max_iter": 1000},
+    LOGISTIC: {"penalty": "l2", "C": 1.0, "max_iter": 1000, "solver": "liblinear"},
 }
 
-# Rows a task should hold before a fit is spread over another one.
-ROWS_PER_TASK = 5_000
-
 # Stopping tolerances of the linear solvers.
 SVM_TOLERANCE = 1e-3
 LOGISTIC_TOLERANCE = 1e-4
@@ -128,6 +125,8 @@ def with_folds(
 ) -> DataFrame:
     """Add a fold number: within each class, rows are dealt out in hash order.
 
+    Rows without a class are dealt out as a class of their own. Keys are unique.
+
     The rank inside a class comes from running totals over hash ranges, so a
     class with a third of all rows is ranked by many tasks.
     """
@@ -136,7 +135,7 @@ def with_folds(
         hashed, ["_h", id_column], {"_rank": F.lit(1).cast("bigint")}, [label]
     )
     dealt = ranked.select(id_column, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int").alias("fold"))
-    return df.join(dealt, id_column)
+    return join_null_safe(df, dealt, [id_column])
 
 
 def make_classifier(algorithm: str, params: Mapping[str, Any], n_rows: int, seed: int = 42) -> Estimator:
@@ -202,22 +201,23 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
     return scored
 
 
-def fold_accuracy(model: Model, df: DataFrame) -> float:
+def fold_accuracy(model: Model, df: DataFrame) -> float | None:
+    """Share of right predictions; none for a fold without rows."""
     hits = F.avg((F.col("prediction") == F.col("label")).cast("double"))
-    return model.transform(df).agg(hits).first()[0] or 0.0
+    return model.transform(df).agg(hits).first()[0]
 
 
 def cross_validate(
     train: DataFrame, estimator: Estimator, folds: int = 5, parallelism: int = 5
 ) -> list[float]:
-    """Accuracy on each held-out fold; the folds are fitted side by side as Spark jobs."""
+    """Accuracy on each held-out fold with rows; the folds are fitted side by side as Spark jobs."""
 
-    def score(k: int) -> float:
+    def score(k: int) -> float | None:
         held_out = F.col("fold") == k
         return fold_accuracy(estimator.fit(train.where(~held_out)), train.where(held_out))
 
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(score, range(folds)))
+        return [s for s in pool.map(score, range(folds)) if s is not None]
 
 
 @dataclass
@@ -237,11 +237,6 @@ class Prepared:
             part.unpersist()
 
 
-def _gathered(cached: DataFrame, n_rows: int) -> DataFrame:
-    """Fewer tasks for few rows: an iterative fit pays for every task in every pass."""
-    return cached.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
-
-
 def prepare(
     df: DataFrame,
     inputs: Inputs,
@@ -274,8 +269,8 @@ def prepare(
     cached = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (folded, vectors(test))]
     n_train, n_test = (part.count() for part in cached)
     return Prepared(
-        train=_gathered(cached[0], n_train),
-        test=_gathered(cached[1], n_test),
+        train=cached[0],
+        test=cached[1],
         names=[*vectorizer.terms, *inputs.numeric, *dummies],
         classes=list(encoder.labels),
         n_train=n_train,
@@ -308,8 +303,9 @@ def run_config(prepared: Prepared, config: TrainConfig, folds: int = 5, seed: in
     fold_scores = cross_validate(prepared.train, estimator, folds)
     model = estimator.fit(prepared.train)
     scores = test_scores(predict(model, prepared.test), len(prepared.classes))
-    mean = sum(fold_scores) / len(fold_scores)
-    spread = (sum((s - mean) ** 2 for s in fold_scores) / len(fold_scores)) ** 0.5
+    counted = max(len(fold_scores), 1)
+    mean = sum(fold_scores) / counted
+    spread = (sum((s - mean) ** 2 for s in fold_scores) / counted) ** 0.5
     return {
         "experiment_name": config.name,
         "algorithm": config.algorithm,
@@ -354,7 +350,8 @@ def sweep(
     """Run every configuration and return one result row each, in the given order.
 
     Configurations that share an n-gram range and vocabulary size share their
-    feature vectors. A failure becomes a `failed` row and the sweep goes on.
+    feature vectors. A configuration without a solver becomes a `failed` row and the
+    sweep goes on; any other error ends it.
     """
     configs = sweep_configs() if configs is None else list(configs)
     rows: dict[int, dict[str, Any]] = {}
@@ -368,10 +365,11 @@ def sweep(
             try:
                 # a configuration without a solver fails before any features are built
                 make_classifier(configs[i].algorithm, configs[i].merged(), 1, seed)
-                prepared = prepared or build()
-                rows[i] = run_config(prepared, configs[i], folds, seed)
-            except Exception as error:
+            except ValueError as error:  # a cluster that fails is no fault of a configuration
                 rows[i] = _failed(configs[i], error)
+                continue
+            prepared = prepared or build()
+            rows[i] = run_config(prepared, configs[i], folds, seed)
         if prepared:
             prepared.release()
     return results_frame(df.sparkSession, [rows[i] for i in range(len(configs))])

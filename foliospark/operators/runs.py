@@ -110,6 +110,11 @@ def with_maps(runs: DataFrame) -> DataFrame:
     return runs.withColumns(added)
 
 
+def _quoted(name: str) -> Column:
+    """A column by its whole name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def union_experiments(*frames: DataFrame) -> DataFrame:
     """Runs of several experiments; a column one of them lacks is null there."""
     out = frames[0]
@@ -138,11 +143,16 @@ def flatten_struct(df: DataFrame, keep: Sequence[str], nested: Sequence[str]) ->
 
 
 def by_thresholds(runs: DataFrame, thresholds: dict[str, tuple[float, str]]) -> DataFrame:
-    """Runs that pass every `metric: (value, op)`; a missing metric never passes."""
+    """Runs that pass every `metric: (value, op)`, best test accuracy first, then by run id.
+
+    A missing metric never passes. Names may hold dots and spaces.
+    """
     for metric, (value, op) in thresholds.items():
         if op not in _COMPARE:
             raise ValueError(f"unknown operator {op!r} for {metric}")
-        runs = runs.where(_COMPARE[op](F.col(f"metric_{metric}"), value))
+        runs = runs.where(_COMPARE[op](_quoted(f"metric_{metric}"), value))
+    if thresholds and "metric_test_accuracy" in runs.columns:
+        runs = runs.orderBy(F.col("metric_test_accuracy").desc_nulls_last(), "run_id")
     return runs
 
 
@@ -161,9 +171,10 @@ def by_expression(
         out = out.where(F.expr(condition))
     keys = []
     for item in order_by:
-        name, _, direction = item.partition(" ")
-        c = F.expr(name)
-        keys.append(c.desc_nulls_last() if direction.strip().upper() == "DESC" else c.asc_nulls_last())
+        name, _, direction = item.strip().rpartition(" ")
+        direction = direction.upper()
+        c = F.expr(name if direction in ("ASC", "DESC") and name else item)
+        keys.append(c.desc_nulls_last() if direction == "DESC" and name else c.asc_nulls_last())
     if keys or max_results is not None:
         out = out.orderBy(*keys, "run_id")
     if max_results is not None:
@@ -172,7 +183,7 @@ def by_expression(
 
 
 def by_param(runs: DataFrame, name: str, value: str) -> DataFrame:
-    return runs.where(F.col(f"param_{name}") == value)
+    return runs.where(_quoted(f"param_{name}") == value)
 
 
 def by_ids(runs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -211,10 +222,10 @@ def comparison_columns(columns: Sequence[str], metrics: Sequence[str] | None = N
 
     def metric(m: str) -> Column:
         named = [f"metric_{p}{m}" for p in ("test_", "") if f"metric_{p}{m}" in have]
-        return (F.coalesce(*named) if named else F.lit(None).cast("double")).alias(m)
+        return (F.coalesce(*map(_quoted, named)) if named else F.lit(None).cast("double")).alias(m)
 
     def param(p: str) -> Column:
-        return F.col(f"param_{p}") if f"param_{p}" in have else F.lit(None).cast("string")
+        return _quoted(f"param_{p}") if f"param_{p}" in have else F.lit(None).cast("string")
 
     return [
         F.col("run_id"),
@@ -282,18 +293,22 @@ def top_per_algorithm(runs: DataFrame, algorithms: Sequence[str], n: int = 10) -
 
 
 def union_algorithms(runs: DataFrame, algorithms: Sequence[str]) -> DataFrame:
-    """Run ids of the named algorithms one after another; a repeated name repeats its runs."""
-    out = None
+    """Run ids of the named algorithms with the place of the name; a repeated name repeats its runs.
+
+    One scan: each run is repeated for the places of its own algorithm.
+    """
+    places: dict[str, list[int]] = {}
     for position, name in enumerate(algorithms):
-        part = runs.where(F.col("algorithm") == name).select(F.lit(position).alias("list"), "run_id")
-        out = part if out is None else out.unionAll(part)
-    return out
+        places.setdefault(name, []).append(position)
+    lists = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
+    wanted = runs.where(F.col("algorithm").isin(list(places)))
+    return wanted.select(F.explode(lists[F.col("algorithm")]).alias("list"), "run_id")
 
 
 def best_by_metric(runs: DataFrame, metric: str) -> DataFrame:
     """The run with the highest metric; absent counts as 0, the lowest id wins ties."""
     value = F.coalesce(F.col(metric), F.lit(0.0))
-    best = F.max_by(
-        F.struct("run_id", "run_name", value.alias("best_value")), F.struct(value, -F.col("run_id"))
+    best = F.min_by(
+        F.struct("run_id", "run_name", value.alias("best_value")), F.struct(-value, F.col("run_id"))
     )
     return runs.agg(best.alias("b")).where(F.col("b").isNotNull()).select("b.*")

@@ -174,7 +174,8 @@ def round_numbers(df: DataFrame, columns: Sequence[str], places: int = 4) -> Dat
 
 
 def project_summary(models: DataFrame) -> DataFrame:
-    best = F.max_by("run_name", F.struct("test_accuracy", -F.col("run_id")))
+    order = F.struct(F.col("test_accuracy").isNull(), -F.col("test_accuracy"), F.col("run_id"))
+    best = F.min_by("run_name", order)  # the lowest id wins ties, whatever its type
     return models.agg(
         F.count("*").alias("models"),
         F.avg("test_accuracy").alias("mean_accuracy"),

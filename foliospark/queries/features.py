@@ -44,7 +44,7 @@ def _text_sql(body: str) -> str:
 
 
 def gram_table(spark, folder, ngram_range=(1, 2)):
-    return features.with_grams(views.publications(spark, folder, spread=True), TEXT_COLUMNS, ngram_range)
+    return features.with_grams(views.publications(spark, folder), TEXT_COLUMNS, ngram_range)
 
 
 def _counts_and_vocabulary(spark, folder):
@@ -183,8 +183,7 @@ def _(spark, folder):
 
 
 def _hash_sql(seed: int = 42) -> str:
-    once = f"((doc_id % 2147483647) * 1103515245 + {seed * 12345}) % 2147483647"
-    return f"({once} * 48271 + 11) % 2147483647 / 2147483647e0"
+    return f"CAST('0x' || md5(CAST(doc_id AS VARCHAR) || '|{seed}')[1:13] AS BIGINT) / 4503599627370496e0"
 
 
 @query(

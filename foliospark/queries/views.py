@@ -25,22 +25,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores where its scan has too few splits.
-
-    At scale a scan has far more splits than cores and nothing is moved.
-    """
-    scan = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def publications(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def publications(spark: SparkSession, folder: str, more: tuple[str, ...] = ()) -> DataFrame:
     """Documents as publication records: title is the first line, abstract the whole text.
 
-    `spread` is for work on the texts that is heavier than their scan.
+    `more` names further columns of documents to take along in the same scan.
     """
-    documents = (text_table if spread else table)(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     return documents.selectExpr(
         "doc_id",
         "cast(doc_id as string) as arxiv_id",
@@ -56,6 +46,7 @@ def publications(spark: SparkSession, folder: str, spread: bool = False) -> Data
         "n_chars % 260 as cited_by",
         "case when doc_id % 17 <> 0 then concat('10.0/', cast(doc_id as string)) end as doi",
         "date'2018-01-01' + cast(doc_id % 3000 as int) as published_date",
+        *more,
     )
 
 
