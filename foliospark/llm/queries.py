@@ -15,6 +15,7 @@ from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
 from foliospark.llm.sharding import shard
+from foliospark.llm.tables import sized
 from foliospark.llm.tokencount import with_token_counts
 from foliospark.queries.registry import Query, Run
 
@@ -210,7 +211,7 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
-    model = toxicity.fit(docs.where(~held_out()).join(labels, "doc_id"))
+    model = toxicity.fit(docs.where(~held_out()).join(sized(labels), "doc_id"))
     return toxicity.score_toxicity(docs, model).select(
         "doc_id", held_out().alias("held_out"), "score", "predicted"
     )

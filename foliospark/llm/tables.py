@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from foliospark.plans.scratch import written
 
 
 def few_files(df: DataFrame) -> DataFrame:
-    """Let narrow rows end in as many tasks, and files, as there are cores.
+    """Deal narrow rows out to as many tasks, and files, as there are cores.
 
     Rows of numbers come out of a shuffle in hundreds of tiny partitions; each file
-    costs more than its rows. Not for texts, whose partitions are worth a task.
+    costs more than its rows. They are dealt out anew rather than coalesced: a task
+    that does the work of many partitions keeps the memory of all of them. Not for
+    texts, whose partitions are worth a file.
     """
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def narrow(df: DataFrame, label: str) -> DataFrame:
     """`written` for narrow rows."""
     return written(few_files(df), label)
+
+
+#: Narrow rows that may be sent to every executor, some tens of MB.
+MAX_BROADCAST = 1_000_000
+
+
+def sized(df: DataFrame, rows: int = MAX_BROADCAST) -> DataFrame:
+    """A stored table of narrow rows, broadcast if it has at most `rows` and left to Spark beyond."""
+    return F.broadcast(df) if df.count() <= rows else df

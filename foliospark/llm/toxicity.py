@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.tables import narrow
 from foliospark.llm.texts import ALNUM, Words, slices, small_batches, words
+from foliospark.plans.scratch import written
 
 WINDOW, STRIDE = 40, 20
 GRAM = 5  # characters of an n-gram
@@ -297,7 +297,7 @@ def count_odds(docs: DataFrame, text: str, label: str) -> Model:
             yield from (flush(kind) for kind in (0, 1))
 
     sizes = {r[label]: r["n"] for r in docs.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    counted = narrow(
+    counted = written(
         docs.select(text, F.col(label).cast("long").alias(label))
         .mapInArrow(count, "kind long, key long, n long, toxic long")
         .groupBy("kind", "key")
