@@ -134,7 +134,7 @@ def _named() -> list[tuple[str, str, str]]:
     out = []
     for label, keywords, pattern, versions in _NAMES:
         for v in versions:
-            digits = v.replace(".0", "(?: 0)?").replace(".", " ")
+            digits = v.replace(".0", r"(?: 0)?(?! \d)").replace(".", " ")
             out.append((label.format(v), keywords, pattern.replace("{n}", digits)))
         if not versions:
             out.append((label, keywords, pattern))
