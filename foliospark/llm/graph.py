@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.plans.scratch import written
+from foliospark.llm.tables import narrow
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,10 +15,10 @@ def components(links: DataFrame) -> DataFrame:
     that root, so the number of rounds follows the logarithm of a chain's length.
     Each round is a table in the shared folder. No links give no rows.
     """
-    both = written(
+    both = narrow(
         links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links"
     )
-    roots = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")), "roots")
+    roots = narrow(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")), "roots")
     while True:
         near = both.join(roots.select(F.col("a").alias("b"), F.col("root").alias("r")), "b")
         least = near.groupBy("a").agg(F.min("r").alias("r"))
@@ -29,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = hooked.join(above, "root").select(
             "a", F.col("top").alias("root"), (F.col("top") != F.col("old")).alias("moved")
         )
-        moved = written(moved, "roots")
+        moved = narrow(moved, "roots")
         roots = moved.select("a", "root")
         if moved.where("moved").isEmpty():
             return roots.withColumnRenamed("a", "node")
