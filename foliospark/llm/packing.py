@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from foliospark.llm.numbering import numbered
+from foliospark.llm.tables import few_files
 from foliospark.llm.texts import plain, small_batches
 from foliospark.plans.scratch import written
 
@@ -144,7 +145,6 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     token, and files of another kind, go through tokenizers.
     """
     if path not in _encoders:
-        whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         special = [t["content"] for t in spec["added_tokens"]]
@@ -159,8 +159,12 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
             and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
         )
 
+        whole: list[Tokenizer] = []  # only loaded if a text needs it
+
         def slow(text: str) -> np.ndarray:
-            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            if not whole:
+                whole.append(Tokenizer.from_file(path))
+            return np.array(whole[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
         def fast(text: str) -> np.ndarray:
             if any(s in text for s in special):
@@ -241,12 +245,12 @@ def pack(
     pieces = written(cut.select(F.monotonically_increasing_id().alias("row"), "doc", "p.*"), "pieces")
     sizes = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()  # capacity rows at most
     planned = places(plan({r.length: r.n for r in sizes}, capacity))
-    dealt = spark.createDataFrame(
-        planned, "length long, first long, end long, sequence long, each long, place long"
-    )
+    names = ["length", "first", "end", "sequence", "each", "place"]
+    columns = np.array(planned, np.int64).reshape(-1, len(names)).T
+    dealt = spark.createDataFrame(pa.Table.from_arrays(list(map(pa.array, columns)), names))
     ranked = numbered(pieces, "length", "row", "rank")
     step = F.col("rank") - F.col("first")
-    return ranked.join(dealt, "length").where((step >= 0) & (F.col("rank") < F.col("end"))).select(
+    return few_files(ranked.join(dealt, "length")).where((step >= 0) & (F.col("rank") < F.col("end"))).select(
         F.col("doc").alias(key), "piece", "start", "length", "ids_crc32",
         (F.col("sequence") + F.floor(step / F.col("each"))).alias("sequence_id"),
         (F.col("place") + step % F.col("each") * F.col("length")).alias("offset"),
