@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.texts import ALNUM, flat, slices
+from foliospark.llm.texts import ALNUM, flat, slices, small_batches
 
 BUCKETS = 1 << 15
 #: Documents per language that the n-gram counts are taken from, about; the model's one bound.
@@ -63,6 +63,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT
 
     Rows without a language or text are left out. No rows give a model without languages.
     """
+    small_batches(docs.sparkSession)
     docs = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[lang]: r["n"] for r in docs.groupBy(lang).agg(F.count("*").alias("n")).collect()}
     known = sorted(sizes)
@@ -172,6 +173,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     every text if no language was learned, is `und` with score 0. Rows are never
     dropped or merged.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double, languages: array<string>, shares: array<double>>")

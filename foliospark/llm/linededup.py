@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.llm.tables import narrow
 from foliospark.plans.scratch import new_path, written
 
 EDGES = " \t\n\x0b\x0c\r"
@@ -51,7 +52,7 @@ class LineRuns:
         self.settled: list[DataFrame] = []
 
     def _sorted(self, rows: DataFrame, label: str) -> DataFrame:
-        return written(rows.repartition("_h1").sortWithinPartitions(*_KEY), label)
+        return written(rows.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY), label)
 
     def _without_settled(self, rows: DataFrame) -> DataFrame:
         for lines in self.settled:
@@ -90,7 +91,7 @@ class LineRuns:
         rows = found[0]
         for more in found[1:]:
             rows = rows.unionByName(more)
-        return written(rows, "common_lines")
+        return narrow(rows, "common_lines")
 
 
 def _batched_counts(docs: DataFrame, text: str, batches: int) -> str:
@@ -145,7 +146,7 @@ def dedup_lines(
         .select("_t.*", "_at", _hashed(F.col("_key"), _KEY).alias("_k"))
         .select(*_TEXT, "_at", "_k.*")
     )
-    dropped = written(
+    dropped = narrow(
         places.join(common, _KEY, "left_semi")
         .groupBy(*_TEXT)
         .agg(F.collect_set("_at").alias("_dropped")),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.tables import narrow
 from foliospark.plans.scratch import written
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -118,7 +119,7 @@ def host_verdicts(failed: DataFrame, host: str, max_rate: float = MAX_HOST_RATE)
     explained (method of moments). Without such spread, or with one host, the weight
     is that of one hundred documents.
     """
-    hosts = written(
+    hosts = narrow(
         failed.groupBy(host).agg(
             F.count("*").alias("_n"),
             *[F.sum(F.col(f"_f_{r}").cast("long")).alias(f"_k_{r}") for r in RULES],
@@ -167,7 +168,7 @@ def rate_quality(
     rows = written(
         counted.select("*", *[v.alias(f"_f_{k}") for k, v in _failures().items()]), "doc_rules"
     )
-    hosts = written(host_verdicts(rows, "host__", max_rate), "host_rules")
+    hosts = narrow(host_verdicts(rows, "host__", max_rate), "host_rules")
     hosts = hosts.withColumnRenamed("host__", "host_of_rule__")
     joined = rows.join(hosts, F.col("host__").eqNullSafe(F.col("host_of_rule__")), "left")
     base = F.col("_f_few_words") | F.col("_f_repeats")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +122,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str =
     bundles.sort(key=lambda b: (b["_class"], b["_part"]))
     chosen = place([b["bytes"] for b in bundles], shards)
     dealt = spark.createDataFrame(
-        [(b["_class"], b["_part"], s) for b, s in zip(bundles, chosen, strict=True)],
-        "_class long, _part long, shard int",
+        pa.table(
+            {
+                "_class": pa.array([b["_class"] for b in bundles], pa.int64()),
+                "_part": pa.array([b["_part"] for b in bundles], pa.int64()),
+                "shard": pa.array(chosen, pa.int32()),
+            }
+        )
     )
     homes = classed.join(dealt, ["_class", "_part"]).select(*_KEY, "shard")
     placed = narrow(
