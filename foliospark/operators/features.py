@@ -9,6 +9,7 @@ from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
     Normalizer,
+    OneHotEncoder,
     StringIndexer,
     StringIndexerModel,
     VectorAssembler,
@@ -146,6 +147,19 @@ def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled
     return df.withColumns(scaled)
 
 
+def fit_levels(df: DataFrame, column: str) -> tuple[list[Transformer], str, list[str]]:
+    """Level lookup and sparse one-hot vector of a column, its name, and the sorted levels.
+
+    A value that was not there when fitting, and null, are all zero.
+    """
+    index, vector = f"_{column}_index", f"_{column}_levels"
+    lookup = StringIndexer(
+        inputCol=column, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(df)
+    spread = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True).fit(lookup.transform(df))
+    return [lookup, spread], vector, list(lookup.labels)
+
+
 class TextVectorizer:
     """Fitted vocabulary and idf weights as a chain of MLlib transformers."""
 

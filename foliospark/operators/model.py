@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import partial
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
     OneVsRest,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,6 +233,9 @@ class Prepared:
     n_train: int
     n_test: int
     cached: list[DataFrame]
+    chain: PipelineModel
+    inputs: Inputs
+    ngram_range: tuple[int, int]
 
     def release(self) -> None:
         for part in self.cached:
@@ -255,15 +260,18 @@ def prepare(
     vectorizer = features.TextVectorizer.fit(
         train, inputs.id_column, max_features=max_features
     )
-    levels = {c: features.column_levels(train, c) for c in inputs.categorical}
-    dummies = [f"{c}_{v}" for c, values in levels.items() for v in values]
+    stages, columns, dummies = list(vectorizer.stages), [vectorizer.output, *inputs.numeric], []
+    for c in inputs.categorical:
+        lookup, vector, levels = features.fit_levels(train, c)
+        stages += lookup
+        columns.append(vector)
+        dummies += [f"{c}_{v}" for v in levels]
+    assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
+    chain = PipelineModel([*stages, assembler])
 
     def vectors(part: DataFrame) -> DataFrame:
-        part = features.numeric_features(vectorizer.transform(part), inputs.numeric)
-        for c, values in levels.items():
-            part = features.one_hot(part, c, values)
-        columns = [vectorizer.output, *inputs.numeric, *dummies]
-        return features.assemble(part, columns).select(inputs.id_column, "label", "features")
+        part = chain.transform(features.numeric_features(part, inputs.numeric))
+        return part.select(inputs.id_column, "label", "features")
 
     folded = with_folds(vectors(train), inputs.id_column, "label", folds, seed)
     cached = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (folded, vectors(test))]
@@ -273,6 +281,9 @@ def prepare(
         test=cached[1],
         names=[*vectorizer.terms, *inputs.numeric, *dummies],
         classes=list(encoder.labels),
+        chain=chain,
+        inputs=inputs,
+        ngram_range=tuple(ngram_range),
         n_train=n_train,
         n_test=n_test,
         cached=cached,
@@ -284,6 +295,42 @@ def fit(prepared: Prepared, config: TrainConfig, seed: int = 42) -> Model:
     return estimator.fit(prepared.train)
 
 
+@dataclass
+class Classifier:
+    """A fitted model with all that leads from a table's columns to its class names."""
+
+    chain: PipelineModel
+    model: Model
+    inputs: Inputs
+    ngram_range: tuple[int, int]
+    classes: list[str]
+
+    @classmethod
+    def of(cls, prepared: Prepared, model: Model) -> "Classifier":
+        return cls(prepared.chain, model, prepared.inputs, prepared.ngram_range, prepared.classes)
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """New rows with `prediction`, `predicted_class` and, where there are any, probabilities."""
+        grams = features.with_grams(df, self.inputs.text, self.ngram_range)
+        ready = self.chain.transform(features.numeric_features(grams, self.inputs.numeric))
+        names = F.array(*map(F.lit, self.classes))
+        scored = predict(self.model, ready.select(*df.columns, "features"))
+        return scored.withColumn("predicted_class", F.get(names, F.col("prediction").cast("int")))
+
+    def save(self, path: str) -> None:
+        PipelineModel([*self.chain.stages, self.model]).write().overwrite().save(f"{path}/model")
+        about = {**asdict(self.inputs), "ngram_range": self.ngram_range, "classes": self.classes}
+        session = SparkSession.active()
+        session.range(1).select(F.lit(json.dumps(about)).alias("value")).write.mode("overwrite").text(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Classifier":
+        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+        *chain, model = PipelineModel.load(f"{path}/model").stages
+        ngram_range, classes = tuple(about.pop("ngram_range")), about.pop("classes")
+        return cls(PipelineModel(chain), model, Inputs(**about), ngram_range, classes)
+
+
 def test_scores(predictions: DataFrame, classes: int) -> dict[str, float | None]:
     """Weighted scores and, with probabilities and more than two classes, the AUC."""
     scores = evaluate.weighted_scores(evaluate.confusion_matrix(predictions)).first().asDict()

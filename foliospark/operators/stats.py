@@ -110,6 +110,7 @@ def minmax_long(metrics: DataFrame) -> DataFrame:
     key: the ranges are aggregated on the map side, written, and joined back. The
     written table has one row per key and is broadcast when its size allows.
     """
+    metrics = written(metrics, "metrics")  # read for the ranges and for the rows
     ranges = written(
         metrics.groupBy("key").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")),
         "metric_ranges",

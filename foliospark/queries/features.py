@@ -10,6 +10,7 @@ from foliospark.functions.scores import ABSTRACT_BINS, JOURNAL_GROUPS, JOURNAL_O
 from foliospark.functions.stopwords import english_stop_words
 from foliospark.operators import features, model
 from foliospark.operators.publications import derive_publications
+from foliospark.plans.scratch import written
 from foliospark.queries import views
 from foliospark.queries.publications import _DERIVED_SQL
 from foliospark.queries.registry import query
@@ -50,7 +51,7 @@ def gram_table(spark, folder, ngram_range=(1, 2)):
 def _counts_and_vocabulary(spark, folder):
     grams = gram_table(spark, folder)
     n_docs = features.document_count(views.publications(spark, folder))
-    counts = features.term_counts(grams, "doc_id")
+    counts = written(features.term_counts(grams, "doc_id"), "term_counts")  # texts are read once
     vocabulary = features.fit_vocabulary(counts, n_docs, max_features=MAX_FEATURES)
     return counts, vocabulary, n_docs
 

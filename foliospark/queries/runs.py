@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliospark.functions import scores
 from foliospark.operators import runs as ops
 from foliospark.operators import stats, tables, versions
+from foliospark.plans.scratch import written
 from foliospark.queries import views
 from foliospark.queries.registry import query
 from foliospark.queries.views import METRIC_KEYS, PARAM_KEYS, table, with_views
@@ -18,17 +19,25 @@ def final_metrics(spark, folder):
     return ops.final_metrics(views.run_metrics(spark, folder), METRIC_ORDER)
 
 
-def wide_runs(spark, folder):
+def wide_runs(spark, folder, ids=None):
+    """All runs, or those of a table of ids, assembled from their long tables."""
+    parts = [view(spark, folder) for view in (views.runs, views.run_metrics, views.run_params)]
+    if ids is not None:
+        parts = [part.join(ids, "run_id", "left_semi") for part in parts]
     return ops.assemble_runs(
-        views.runs(spark, folder),
-        views.run_metrics(spark, folder),
-        views.run_params(spark, folder),
+        *parts,
         metric_keys=METRIC_KEYS,
         param_keys=PARAM_KEYS,
         metric_order=METRIC_ORDER,
     )
 
 
+def _one_metric(spark, folder, key):
+    """Last value of one metric per run that has it, before anything is assembled."""
+    reports = views.run_metrics(spark, folder).where(F.col("key") == key)
+    return ops.wide(reports, [key], "metric_", METRIC_ORDER)
+
+
 # ---- labels and scalar columns ---------------------------------------------
 
 
@@ -399,7 +408,9 @@ _COMPARISON_SQL = (
     ),
 )
 def _(spark, folder):
-    return ops.compare_runs(wide_runs(spark, folder), _requested(spark, folder))
+    requested = _requested(spark, folder)
+    ids = written(requested.select("run_id").distinct(), "requested")
+    return ops.compare_runs(wide_runs(spark, folder, ids), requested)
 
 
 @query(
@@ -567,9 +578,9 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    wide = wide_runs(spark, folder)
-    high = ops.best_run(wide, "metric_test_accuracy").selectExpr("'max' as kind", "run_id", "metric_test_accuracy")
-    low = ops.best_run(wide, "metric_loss", maximize=False).selectExpr("'min' as kind", "run_id", "metric_loss")
+    accuracy, loss = (_one_metric(spark, folder, key) for key in ("test_accuracy", "loss"))
+    high = ops.best_run(accuracy, "metric_test_accuracy").selectExpr("'max' as kind", "run_id", "metric_test_accuracy")
+    low = ops.best_run(loss, "metric_loss", maximize=False).selectExpr("'min' as kind", "run_id", "metric_loss")
     return high.union(low)
 
 
@@ -582,7 +593,11 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return ops.leaderboard(wide_runs(spark, folder))
+    ranked = views.runs(spark, folder).select("run_id").join(
+        _one_metric(spark, folder, "test_accuracy"), "run_id", "left"
+    )
+    ids = written(ops.top_runs(ranked, "metric_test_accuracy", 10).select("run_id"), "leaders")
+    return ops.leaderboard(wide_runs(spark, folder, ids))
 
 
 @query(
