@@ -16,7 +16,7 @@ HEADLINE = [
     "final_metric_value", "minmax_matrix", "metric_summary", "algo_stats", "runtime_stats",
     "runtime_histogram", "running_best", "top_n_per_algorithm", "stage_transition",
     "status_windows", "weighted_scores", "roc_auc_ovr",
-    "tokenize", "vocab_prune", "tfidf", "stratified_folds",
+    "tokenize", "vocab_prune", "tfidf", "stratified_folds", "train_rf", "train_lr",
 ]
 
 
