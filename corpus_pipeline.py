@@ -16,6 +16,7 @@ from foliospark.llm.jaccard import link_similar
 from foliospark.llm.langid import UNKNOWN, fit, identify
 from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.packing import pack
+from foliospark.llm.tables import narrow, sized
 from foliospark.plans.scratch import written
 
 ORACLE_SQL = None  # language models and tokenizers are beyond SQL
@@ -59,15 +60,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key")))
     stay = (
         linked.where(F.col("class_key").isNotNull())
+        .groupBy("class_key", "doc_id", "text_key")
+        .agg(F.count("*").alias("rows"))
         .groupBy("class_key")
-        .agg(first.alias("f"))
-        .select(F.col("f.doc_id").alias("_doc"), F.col("f.text_key").alias("_key"))
+        .agg(first.alias("f"), F.max("rows").alias("rows"))
+        .select(F.col("f.doc_id").alias("_doc"), F.col("f.text_key").alias("_key"), (F.col("rows") > 1).alias("_more"))
     )
     wordy = F.coalesce(F.col("text").rlike(_SOME_WORD), F.lit(False))
-    keyed = docs.where(wordy).withColumn("_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (keyed["_key"] == stay["_key"])
-    kept = keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_key"])
-    return kept.select(*docs.columns).unionByName(docs.where(~wordy))
+    keyed = docs.where(wordy).withColumn("_text_key", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
+    kept = keyed.join(sized(narrow(stay, "stay")), same)
+    # Only rows that may be repeated as a whole have to meet.
+    repeated = kept.where("_more").dropDuplicates(["doc_id", "_text_key"])
+    kept = kept.where("not _more").unionByName(repeated).select(*docs.columns)
+    return kept.unionByName(docs.where(~wordy))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,7 +84,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
     keyed = docs.withColumn("_text_key", F.xxhash64("text"))
     leaked = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
-    return keyed.join(written(leaks.distinct(), "leaks"), leaked, "left_anti").select(*docs.columns)
+    leaks = sized(narrow(leaks.distinct(), "leaks"))
+    return keyed.join(leaks, leaked, "left_anti").select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
