@@ -22,9 +22,17 @@ from foliospark.llm.tables import few_files, narrow
 from foliospark.plans.scratch import written
 
 # The masks; 1 is a position that must agree.
-MASKS = ["111011101", "1101100111", "10110101011", "11001110101"]
+# Together they hit 13 words of which any two were replaced.
+MASKS = ["111011101", "1101100111", "10110101011", "11001110101", "11010110111"]
+#: Further masks of items whose words are fewer, so that any 80 percent of them are hit.
+SHORT_MASKS = {
+    9: ["10110111", "101011011"],
+    10: ["111101", "10100111"],
+    11: ["1111011", "1100010111"],
+    12: ["11010011011", "101001110011"],
+}
 #: Items of fewer words are not searched; those shorter than a mask get one without gaps.
-MIN_WORDS = 5
+MIN_WORDS = 1
 SHORTEST = min(map(len, MASKS))
 #: Documents' seeds go through a bitmap of this fixed size before the join.
 FILTER_BITS = 23
@@ -32,6 +40,13 @@ _LOW = np.uint64((1 << FILTER_BITS) - 1)
 _HALF = np.uint64(32)
 
 
+def masks_of(n: int) -> list[str]:
+    """The masks by which an item of n words is found."""
+    if n < SHORTEST:
+        return ["1" * n] if n >= MIN_WORDS else []
+    return MASKS + SHORT_MASKS.get(n, [])
+
+
 def _seeds(found: Words, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Hash and word position of every place of the mask; none spans two texts."""
     n = np.diff(found.first)
@@ -56,12 +71,12 @@ def _item_seeds(items: DataFrame) -> DataFrame:
                 n = np.diff(found.first)
                 seeds: list[list[int]] = [[] for _ in n]
                 places: list[list[int]] = [[] for _ in n]
-                short = {"1" * int(x) for x in n if MIN_WORDS <= x < SHORTEST}
-                for mask in [*MASKS, *sorted(short)]:
+                masks = {x: masks_of(x) for x in set(n.tolist())}
+                for mask in sorted({m for own in masks.values() for m in own}):
                     hashes, at = _seeds(found, mask)
                     own = np.searchsorted(found.first, at, "right") - 1
                     for h, p, i in zip(hashes.view(np.int64), at, own, strict=True):
-                        if mask in MASKS or n[i] == len(mask):
+                        if mask in masks[n[i]]:
                             seeds[i].append(int(h))
                             places[i].append(int(p - found.first[i]))
                 tokens = [
@@ -86,7 +101,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, bits, lengths: list[int]) -> DataFrame:
     """Documents with seeds that pass the bitmap: token hashes, these seeds and their places."""
-    masks = [*MASKS, *("1" * n for n in lengths)]
+    masks = sorted({m for n in lengths for m in masks_of(n)}) or MASKS
     carried = [c for c in docs.columns if c != "text"]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,6 +115,12 @@ def _candidates(docs: DataFrame, bits, lengths: list[int]) -> DataFrame:
                     hashes, at = _seeds(found, mask)
                     hit = np.flatnonzero(known[hashes & _LOW])
                     hit = hit[known[(hashes[hit] >> _HALF) & _LOW]]
+                    if len(mask) < SHORTEST and "0" not in mask:
+                        # a short item agrees whole, so a text's first place of it is the best
+                        text_of = np.searchsorted(found.first, at[hit], "right")
+                        order = np.lexsort((hit, hashes[hit], text_of))
+                        t, h = text_of[order], hashes[hit][order]
+                        hit = hit[order[np.append(True, (t[1:] != t[:-1]) | (h[1:] != h[:-1]))[: len(order)]]]
                     seeds.append(hashes[hit])
                     places.append(at[hit])
                 hashes, at = np.concatenate(seeds), np.concatenate(places)
@@ -187,8 +208,9 @@ def find_leaks(
     Tokens are runs of ASCII letters and digits and characters beyond ASCII, A-Z in
     lower case. A passage is a stretch of at least `window` tokens (or the whole of
     a shorter item) of which `percent` agree in place; items shorter than the shortest
-    mask must agree whole. Items of fewer than MIN_WORDS words are never reported, nor are null or empty texts. Repeated rows are
-    reported each; null keys stay null; empty tables give an empty table.
+    mask must agree whole. Null or empty texts are never reported. Repeated rows are
+    reported each; null keys stay null; empty tables give an empty table. The masks
+    find every such passage of the default `window` and `percent`.
 
     Returns key, item_key, text_key (a hash of the document's text), n_agree, n_span
     and at_word (the place in the document).
@@ -208,15 +230,17 @@ def find_leaks(
         ),
         "seeds",
     )
-    sized = (F.octet_length("tokens") / 8).cast("int").alias("n")
-    lengths = [r.n for r in cut.select(sized).where(f"n >= {MIN_WORDS} and n < {SHORTEST}").distinct().collect()]
+    sized = (F.octet_length("tokens") / 8).cast("int")
+    # Beyond the longest that has masks of its own all items have the same ones.
+    most = max(SHORT_MASKS) + 1
+    lengths = [r.n for r in cut.select(F.least(sized, F.lit(most)).alias("n")).distinct().collect()]
     bits = spark.sparkContext.broadcast(_bitmap(seeds))
 
     # The row number is written with what it numbers, so later reads agree on it.
     keyed = docs.select(
         rows, F.col(key).alias("doc"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
     )
-    found = written(_candidates(keyed, bits, sorted(lengths)), "candidates")
+    found = written(_candidates(keyed, bits, lengths), "candidates")
     hits = (
         found.select("row", zipped)
         .select("row", F.col("s.seeds").alias("h"), F.col("s.places").alias("dp"))

@@ -1,5 +1,6 @@
 """Decontamination against brute force, and the pipeline stage by stage."""
 
+import itertools
 import random
 import zlib
 
@@ -59,6 +60,37 @@ def test_leaks_equal_brute_force(spark, items):
     assert all(r.n_agree <= r.n_span for r in got)
 
 
+def test_masks_reach_all_that_verification_accepts():
+    for n in range(decontam.SHORTEST, 15):
+        size = min(n, 13)
+        for lost in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in range(4)):
+            same = np.array([i not in lost for i in range(n)])
+            sums = np.concatenate([[0], np.cumsum(same)])
+            if (100 * (sums[size:] - sums[:-size]) < 80 * size).all():
+                continue
+            assert any(
+                all(same[at + j] for j, used in enumerate(mask) if used == "1")
+                for mask in decontam.masks_of(n)
+                for at in range(n - len(mask) + 1)
+            ), (n, lost)
+
+
+def test_short_items_are_found(spark):
+    items = [(n, edge.prose(700 + n, n)) for n in range(1, 13)]
+    docs = []
+    for n, text in items:
+        for lost in itertools.combinations(range(n), n // 5 if n >= decontam.SHORTEST else 0):
+            passage = ["other" if i in lost else w for i, w in enumerate(text.split())]
+            docs.append((len(docs), f"{edge.prose(n, 30)} {' '.join(passage)} zzz {text if not lost else ''}"))
+    got = decontam.find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute(docs, items)
+    assert {r.doc_id for r in got} == {d for d, _ in docs} and {r.item_id for r in got} == set(range(1, 13))
+    assert all(r.at_word <= 30 for r in got if r.item_id == r.doc_id + 1)
+
+
 def test_leaks_of_empty_tables(spark, items):
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert decontam.find_leaks(edge.frame(spark, empty=True), bench).count() == 0
