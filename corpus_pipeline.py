@@ -24,7 +24,7 @@ ORACLE_SQL = None  # language models and tokenizers are beyond SQL
 #: A document goes if no known language has at least this share of it.
 LEAST_SHARE = 0.4
 MIN_DOCS = 10
-SHINGLE, PERCENT = 4, 85
+SHINGLE, PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
 #: A text with a word: the n-gram join links all others with nothing.
 _SOME_WORD = "[^\\x20\\x09-\\x0D]"

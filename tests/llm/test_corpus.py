@@ -116,6 +116,16 @@ def test_stages_on_documents(spark, folder):
     check_packing(pieces, [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_near_duplicates_link_from_four_fifths(spark):
+    base = edge.prose(40, 400)
+    rows = [(0, base), (1, f"{base} {edge.prose(41, 82)}"), (2, f"{base} {edge.prose(42, 120)}")]
+    grams = [set(zip(*(t.split()[i:] for i in range(5)))) for _, t in rows]
+    near, far = (len(grams[0] & g) / len(grams[0] | g) for g in grams[1:])
+    assert 0.8 < near < 0.85 and far < 0.8
+    kept = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == {0, 2}
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_stages_on_edge_rows(spark, folder, empty):
     docs = edge.frame(spark, empty)
