@@ -3,7 +3,8 @@
 Every word gets its likelihood under each known language from that language's
 character n-grams. A document's language shares are those under which its words
 are likeliest; the set of languages is the one whose likelihood, less a penalty
-for each member, is highest.
+for each member, is highest,
+grown from the likeliest language by one language at a time.
 """
 
 from __future__ import annotations
@@ -22,10 +23,7 @@ BUCKETS = 1 << 15
 #: Documents per language that the n-gram counts are taken from, about; the model's one bound.
 FIT_ROWS = 2000
 ROUNDS = 12
-MAX_LANGUAGES = 3
 PENALTY = 2.0
-#: A second language under this share of the full mixture is not tried.
-LEAST_SHARE = 0.02
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -118,16 +116,49 @@ def _mixture(likely: np.ndarray, at: np.ndarray, own: np.ndarray, allowed: np.nd
     return shares, np.add.reduceat(np.log(total), at)
 
 
+def _places(at: np.ndarray, n: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some documents, where each one's begin among them, and whose each is."""
+    begin = np.cumsum(n[docs]) - n[docs]
+    part = np.repeat(np.arange(len(docs)), n[docs])
+    return np.arange(len(part)) + (at[docs] - begin)[part], begin, part
+
+
+def _can_gain(
+    logs: np.ndarray, likely: np.ndarray, at: np.ndarray, n: np.ndarray, docs: np.ndarray,
+    shares: np.ndarray, value: np.ndarray, j: int, penalty: np.ndarray,
+) -> np.ndarray:
+    """Whether language j could gain a document more than the penalty.
+
+    No mixture of a set is likelier than the best of its members at every word.
+    """
+    if not len(docs):
+        return np.zeros(0, bool)
+    chosen, begin, part = _places(at, n, docs)
+    allowed = shares[docs] > 0
+    allowed[:, j] = True
+    bound = np.add.reduceat(np.where(allowed[part], logs[chosen], -np.inf).max(axis=1), begin)
+    return bound - value[docs] > penalty[docs]
+
+
 def mixtures(texts: pa.Array, model: Model) -> list[tuple[str, float, list[str], list[float]]]:
     """Of each text: language, its share, the languages chosen, and their shares."""
+    return [row[:4] for row in explained(texts, model)]
+
+
+def explained(texts: pa.Array, model: Model) -> list[tuple[str, float, list[str], list[float], float]]:
+    """As `mixtures`, and how much likelier than under the background model an n-gram is, as a logarithm.
+
+    The background model gives all n-gram buckets the same likelihood.
+    """
     grams, starts, first = _grams(texts)
-    out = [(UNKNOWN, 0.0, [], []) for _ in range(len(texts))]
+    out = [(UNKNOWN, 0.0, [], [], 0.0) for _ in range(len(texts))]
     n = np.diff(first)
     some = np.flatnonzero(n)
     if not len(some) or not model.languages:
         return out
     logs = np.add.reduceat(model.log_likelihood[grams], starts, axis=0)
-    logs -= logs.max(axis=1, keepdims=True)
+    highest = logs.max(axis=1)
+    logs -= highest[:, None]
     likely = np.exp(np.maximum(logs, -60)).astype(np.float32)
     own = np.repeat(np.arange(len(some)), n[some])
     at = first[some]
@@ -138,21 +169,37 @@ def mixtures(texts: pa.Array, model: Model) -> list[tuple[str, float, list[str],
     shares = np.zeros_like(full)
     shares[np.arange(len(some)), top] = 1
     penalty = PENALTY * np.log(n[some] + 1.0)
-    single = np.add.reduceat(np.maximum(logs[np.arange(len(own)), top[own]], -60), at)
-    best = single - penalty
-    for m in range(2, min(MAX_LANGUAGES, k) + 1):
-        trial = np.flatnonzero(full[np.arange(len(some)), order[:, m - 1]] >= LEAST_SHARE)
-        if not len(trial):
+    logs = np.maximum(logs, -60)
+    value = np.add.reduceat(logs[np.arange(len(own)), top[own]], at)
+    going = np.arange(len(some))
+    for m in range(2, k + 1):
+        # One more language for each document whose set has just grown: the best that pays.
+        least, best, grown = value[going] + penalty[going], value[going].copy(), shares[going]
+        paid = np.zeros(len(going), bool)
+        for j in range(k):
+            trial = np.flatnonzero(shares[going, j] == 0)
+            trial = trial[_can_gain(logs, likely, at, n[some], going[trial], shares, value, j, penalty)]
+            if not len(trial):
+                continue
+            docs = going[trial]
+            chosen, begin, part = _places(at, n[some], docs)
+            allowed = (shares[docs] > 0).astype(np.float32)
+            allowed[:, j] = 1
+            columns = np.argsort(-allowed, axis=1, kind="stable")[:, :m]
+            found, total = _mixture(
+                np.take_along_axis(likely[chosen], columns[part], axis=1), begin, part, np.ones((len(docs), m), np.float32)
+            )
+            better = (total > least[trial]) & (total > best[trial])
+            paid[trial[better]], best[trial[better]] = True, total[better]
+            wide = np.zeros((len(docs), k), np.float32)
+            np.put_along_axis(wide, columns, found, axis=1)
+            grown[trial[better]] = wide[better]
+        going, best, grown = going[paid], best[paid], grown[paid]
+        shares[going], value[going] = grown, best
+        if not len(going):
             break
-        allowed = np.zeros((len(trial), k), np.float32)
-        np.put_along_axis(allowed, order[trial, :m], 1, axis=1)
-        chosen = np.isin(own, trial)
-        counts = n[some][trial]
-        part = np.repeat(np.arange(len(trial)), counts)
-        found, value = _mixture(likely[chosen], np.cumsum(counts) - counts, part, allowed)
-        value = value - m * penalty[trial]
-        better = value > best[trial]
-        shares[trial[better]], best[trial[better]] = found[better], value[better]
+    per_word = np.diff(np.append(starts, len(grams)))
+    above = (value + np.add.reduceat(highest, at, dtype=np.float64)) / np.add.reduceat(per_word, at) + np.log(BUCKETS)
     for i, row in enumerate(some):
         members = [j for j in np.argsort(-shares[i], kind="stable") if shares[i, j] > 0]
         lead = members[0]
@@ -161,34 +208,38 @@ def mixtures(texts: pa.Array, model: Model) -> list[tuple[str, float, list[str],
             float(min(1.0, max(0.0, full[i, lead]))),
             [model.languages[j] for j in members],
             [float(shares[i, j]) for j in members],
+            float(above[i]),
         )
     return out
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred, score, languages and shares; columns of these names are replaced.
+    """`docs` with lang_pred, score, languages, shares and gain; columns of these names are replaced.
 
     score is the share of lang_pred in the mixture of all known languages; languages
-    and shares are those of the chosen set. A text that is null or has no letter, and
+    and shares are those of the chosen set; gain is the logarithm of how much likelier
+    an n-gram is under that set than under a background model of equally likely
+    n-grams, so a text of no known language has a gain below 0. A text that is null or has no letter, and
     every text if no language was learned, is `und` with score 0. Rows are never
     dropped or merged.
     """
     small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
+    names = ("lang_pred", "score", "languages", "shares", "gain")
 
-    @F.arrow_udf("struct<lang_pred: string, score: double, languages: array<string>, shares: array<double>>")
+    @F.arrow_udf("struct<lang_pred: string, score: double, languages: array<string>, shares: array<double>, gain: double>")
     def found(texts: pa.Array) -> pa.Array:
         rows = []
         for part in slices(texts):
             letters = (any(map(str.isalpha, t)) for t in part.to_pylist())
-            mixed = mixtures(part, held.value)
-            rows += [r if has else (UNKNOWN, 0.0, [], []) for r, has in zip(mixed, letters, strict=True)]
-        kinds = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
+            mixed = explained(part, held.value)
+            rows += [r if has else (UNKNOWN, 0.0, [], [], 0.0) for r, has in zip(mixed, letters, strict=True)]
+        kinds = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.float64()]
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.StructArray.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["lang_pred", "score", "languages", "shares"],
+            list(names),
         )
 
-    own = [c for c in docs.columns if c not in ("lang_pred", "score", "languages", "shares")]
+    own = [c for c in docs.columns if c not in names]
     return docs.select(*own, found(F.col(text)).alias("_found")).select(*own, "_found.*")

@@ -265,6 +265,24 @@ def test_gradients_equal_differences():
             old = flat[i]
             flat[i] = old + 1e-2
             up = loss()
+def test_language_sets_have_no_limit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    words_of = {
+        k: " ".join(r.text for r in docs.where(F.col("lang") == k).orderBy("doc_id").limit(150).collect()).split()
+        for k in model.languages
+    }
+    assert len(words_of) == 4
+    equal = " ".join(w for ws in words_of.values() for w in ws[:150])
+    lots = words_of["en"] * (1 + 19800 // len(words_of["en"]))
+    trace = " ".join(lots[:19800] + words_of["fr"][:200])
+    alone = " ".join(words_of["en"][:300])
+    found = langid.mixtures(texts.plain(pa.array([equal, trace, alone])), model)
+    assert set(found[0][2]) == set(words_of) and set(found[1][2]) >= {"en", "fr"} and found[2][2] == ["en"]
+    assert abs(dict(zip(found[1][2], found[1][3]))["fr"] - 0.01) < 0.005
+    assert all(abs(x - 0.25) < 0.08 for x in found[0][3])
+
+
             flat[i] = old - 1e-2
             down = loss()
             flat[i] = old
