@@ -21,8 +21,6 @@ from foliospark.plans.scratch import written
 
 ORACLE_SQL = None  # language models and tokenizers are beyond SQL
 
-#: A document goes if no known language has at least this share of it.
-LEAST_SHARE = 0.4
 MIN_DOCS = 10
 SHINGLE, PERCENT = 5, 80
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,10 +34,13 @@ def _learnable() -> Column:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters and those of no known language go."""
+    """Documents without letters and those of no known language go, however many known ones a document has.
+
+    Of no known language is a text that a background model of n-grams explains better.
+    """
     model = fit(docs.where(_learnable()).select("text", "lang"))
     found = identify(docs.withColumn("_text", F.col("text")), model, text="_text")
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("gain") >= 0)
     return found.where(known).select(*docs.columns)
 
 

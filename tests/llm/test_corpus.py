@@ -141,6 +141,26 @@ def test_stages_on_edge_rows(spark, folder, empty):
     assert (out.count() == 0) == empty
 
 
+def test_language_stage_keeps_mixtures_of_known_languages(spark):
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words_of = {
+        k: " ".join(r.text for r in known.where(f"lang = '{k}'").orderBy("doc_id").limit(20).collect()).split()
+        for k in ("en", "de", "fr", "es")
+    }
+    more = [
+        (10**9, " ".join(w for ws in words_of.values() for w in ws[:150])),
+        (10**9 + 1, " ".join(w for k in ("en", "de", "fr") for w in words_of[k][:150])),
+        (10**9 + 2, "Он сказал, что сегодня вечером придёт домой поздно и просил не ждать его к ужину " * 5),
+        (10**9 + 3, "今天晚上他说会很晚回家让我们不要等他吃晚饭因为他还有很多工作要做 " * 5),
+    ]
+    rows = known.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame([(*r, None) for r in more], "doc_id long, text string, lang string")
+    )
+    kept = {r.doc_id for r in pipeline.language_id(spark, rows, "").select("doc_id").collect()}
+    assert {d for d in kept if d >= 10**9} == {10**9, 10**9 + 1}
+    assert len([d for d in kept if d < 10**9]) == known.where("text rlike '[A-Za-z]'").count()
+
+
 def test_pipeline_learns_without_held_out_rows(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
     got = {r.doc_id for r in rows.where(pipeline._learnable()).collect()}
