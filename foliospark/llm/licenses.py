@@ -110,9 +110,18 @@ _TEXTS = [
     ("proprietary", "rights reserved", "all rights reserved"),
     ("proprietary", "proprietary confidential", "proprietary and confidential"),
 ]
+#: SPDX identifiers: those that are not their label, labels that are none, and those of no name above.
+_SPDX = {"bsd-0-clause": "0bsd", "boost-1.0": "bsl-1.0"}
+_NO_SPDX = {"bsd", "public-domain"}
+_MORE_SPDX = """
+    aal apsl-2.0 beerware blueoak-1.0.0 bsd-2-clause-patent bsd-3-clause-clear bsd-4-clause-uc busl-1.1
+    bzip2-1.0.6 cc-pddc cecill-2.1 cecill-b cecill-c curl ecl-2.0 elastic-2.0 ftl hpnd ijg info-zip ipl-1.0 json
+    libpng libpng-2.0 lppl-1.3c mit-cmu mpl-2.0-no-copyleft-exception mulanpsl-2.0 ntp php-3.01 python-2.0
+    rpl-1.5 sspl-1.0 tcl unicode-3.0 unicode-dfs-2016 upl-1.0 zpl-2.1
+""".split()
+_WITH = "(?: with (?:linux syscall note|(?:[a-z0-9]+ ){1,5}?exception(?: [0-9]+)*))?"
 #: Ways to name a licence, best first: confidence, keywords, what stands before the name.
 _FORMS = [
-    (1.0, "spdx", "spdx licen[cs]e identifier "),
     (0.9, "under", "(?:licen[cs]ed|released|distributed|available|provided|published|made available) under (?:the )?(?:terms of )?(?:the )?"),
     (0.8, "terms", "(?:subject to|under) the (?:terms|conditions)(?: and conditions)? of (?:the )?"),
     (0.6, "", ""),
@@ -136,8 +145,9 @@ def _named() -> list[tuple[str, str, str]]:
         for v in versions:
             digits = v.replace(".0", r"(?: 0)?(?! \d)").replace(".", " ")
             out.append((label.format(v), keywords, pattern.replace("{n}", digits)))
-        if not versions:
-            out.append((label, keywords, pattern))
+        bare = pattern.removesuffix(f"{_V} ?{{n}}")
+        if not versions or bare != pattern:
+            out.append((label.removesuffix("-{}"), keywords, bare))
     for code, name in reversed(_CC.items()):
         short = f"cc {code.replace('-', ' ')}"
         for v in _CC_VERSIONS:
@@ -150,9 +160,25 @@ def _named() -> list[tuple[str, str, str]]:
     return out
 
 
+def _identified() -> list[tuple[str, str]]:
+    """Label and expression of every SPDX identifier in an expression of several; longer ones first.
+
+    A detection begins with the identifier itself, so no part of the expression hides another.
+    """
+    versioned = {label for label, _, _ in _named() if re.search(r"\d\.\d|clause", label)}
+    plain = {label for label, _, _, versions in _NAMES if not versions} - _NO_SPDX
+    ids = {label: _SPDX.get(label, label) for label in versioned | plain} | {x: x for x in _MORE_SPDX}
+    spelled = {label: re.sub("[-.]", " ", x) + "(?: only| or later)?" for label, x in ids.items()}
+    order = sorted(spelled, key=lambda label: (-len(spelled[label]), label))
+    some = "(?:" + "|".join(spelled[label] for label in order) + ")" + _WITH
+    return [(label, f"spdx licen[cs]e identifier (?:{some} (?:or|and) )*?({spelled[label]})") for label in order]
+
+
 def rules() -> list[Rule]:
     """All rules in the order of their priority."""
     out = [_rule(0, label, 0.95, keys, pattern) for label, keys, pattern in _TEXTS]
+    for label, pattern in _identified():
+        out.append(_rule(len(out), label, 1.0, "spdx identifier", pattern))
     for confidence, more, before in _FORMS:
         for label, keys, name in _named():
             out.append((_rule(len(out), label, confidence, f"{keys} {more}".strip(), before + name)))
@@ -165,7 +191,7 @@ def detections(joined: bytes, ruled: list[Rule]) -> list[tuple[int, int, str, fl
     for rule in ruled:
         if all(k in joined for k in rule.keywords):
             found += [
-                (rule.priority, m.start(), m.end(), rule.label, rule.confidence)
+                (rule.priority, m.start(m.lastindex or 0), m.end(), rule.label, rule.confidence)
                 for m in rule.pattern.finditer(joined)
             ]
     kept: list[tuple[int, int, str, float]] = []

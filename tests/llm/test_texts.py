@@ -107,9 +107,33 @@ def test_license_rules_and_suppression():
     assert labels("CC BY-NC-SA 4.0") == ["cc-by", "cc-by-nc-sa-4.0"]
     assert labels("SPDX-License-Identifier: BSD-3-Clause") == ["bsd-3-clause"]
     assert labels("He was admitted without a licence") == []
+    assert len(set(licenses._named())) == len(licenses._named())
     assert licenses.detections(b"", ruled) == []
 
 
+def test_license_identifiers_and_bare_names():
+    ruled = licenses.rules()
+
+    def labels(text):
+        return sorted(licenses.scan(text.lower().encode(), ruled)[2])
+
+    for name, label in [
+        ("MIT", "mit"), ("MIT-0", "mit-0"), ("Apache-2.0", "apache-2.0"), ("ISC", "isc"), ("Zlib", "zlib"),
+        ("EPL-2.0", "epl-2.0"), ("BSL-1.0", "boost-1.0"), ("0BSD", "bsd-0-clause"), ("GPL-2.0-or-later", "gpl-2.0"),
+        ("LGPL-2.1-only", "lgpl-2.1"), ("CC-BY-SA-4.0", "cc-by-sa-4.0"), ("BSD-3-Clause-Clear", "bsd-3-clause-clear"),
+    ]:
+        assert set(labels(f"// SPDX-License-Identifier: {name}; int main")) - {"cc-by"} == {label}, name
+    both = "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR MIT AND (Apache-2.0)"
+    assert labels(both) == ["apache-2.0", "gpl-2.0", "mit"]
+    assert labels("SPDX-License-Identifier: MIT; import zlib") == ["mit"]
+    for name, label in [
+        ("Mozilla Public License", "mpl"), ("the Eclipse Public License", "epl"), ("LGPL", "lgpl"), ("GPL", "gpl"),
+        ("GNU Lesser General Public License", "lgpl"), ("GNU Affero General Public License", "agpl"),
+    ]:
+        assert labels(f"It comes under {name} as a whole") == [label], name
+    assert labels("under the terms of the Mozilla Public License 2.0") == ["mpl-2.0"]
+
+
 def test_gates_let_all_detections_through():
     ruled, gates = licenses._ready()
     for rule in ruled:
