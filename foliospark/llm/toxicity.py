@@ -28,8 +28,8 @@ INPUTS = 2 * EMBED + 2
 #: Odds start from so many documents of the usual mix for each toxic one, within limits, and are cut.
 SHRINK, LEAST_SHRINK, MOST_SHRINK = 0.03, 4.0, 50.0
 LEAST_ODDS, MOST_ODDS = -1.0, 4.0
-#: Words and n-grams of fewer documents are unknown, else they would be learned by heart; more
-#: documents are asked for if over MAX_KNOWN of either could pass.
+#: Words and n-grams of fewer documents are unknown, else they would be learned by heart; of more
+#: than MAX_KNOWN of either the most telling are known, by the size of their odds times their documents.
 LEAST_KNOWN, MAX_KNOWN = 8, 1 << 17
 FLUSH = 1 << 20
 #: Training takes about so many toxic documents, three times as many others, and so many windows of each.
@@ -304,14 +304,19 @@ def count_odds(docs: DataFrame, text: str, label: str) -> Model:
         .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")),
         "toxic_counts",
     )
-    total = {r["kind"]: r["n"] for r in counted.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     share = min(max(sizes.get(1, 0) / max(sum(sizes.values()), 1), 0.01), 0.99)
     shrink = min(max(SHRINK * sizes.get(1, 0), LEAST_SHRINK), MOST_SHRINK)
     usual = np.log(share / (1 - share))
+    # the same value in the table of counts
+    rest = F.col("n") - F.col("toxic") + shrink * (1 - share)
+    value = F.log((F.col("toxic") + shrink * share) / rest) - float(usual)
+    power = F.abs(F.greatest(F.least(value, F.lit(MOST_ODDS)), F.lit(LEAST_ODDS))) * F.col("n")
     odds: Model = {}
     for i, name in enumerate(("word", "gram")):
-        least = max(LEAST_KNOWN, -(-total.get(i, 0) // MAX_KNOWN))
-        found = counted.where((F.col("kind") == i) & (F.col("n") >= least)).toArrow()
+        known = counted.where((F.col("kind") == i) & (F.col("n") >= LEAST_KNOWN))
+        if known.count() > MAX_KNOWN:
+            known = known.orderBy(power.desc(), "key").limit(MAX_KNOWN)
+        found = known.toArrow()
         keys = found.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
         toxic, n = (found.column(c).to_numpy()[order] for c in ("toxic", "n"))

@@ -331,6 +331,16 @@ def test_toxicity_held_out(spark):
     assert np.mean(toxic) > 0.9 and np.mean(clean) < 0.05
 
 
+def test_rare_telling_words_stay_known(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_KNOWN", 40)
+    rows = [(f"{edge.prose(i % 30, 40)}{' vilest' if i < 10 else ''}", int(i < 60)) for i in range(600)]
+    odds = toxicity.count_odds(spark.createDataFrame(rows, "text string, toxic int"), "text", "toxic")
+    wanted = toxicity.Inputs(texts.words(texts.plain(pa.array(["vilest"])), texts.ALNUM))
+    row = toxicity._rows(odds["word_keys"], wanted.words)[0]
+    assert row > 0 and odds["word_odds"][row] == odds["word_odds"].max() > 0.5
+    assert len(odds["word_keys"]) == 40 and len(odds["gram_keys"]) == 40
+
+
 def test_toxicity_edges(spark):
     one = spark.createDataFrame([("good words", 0), (None, 1), ("fine", None)], "text string, toxic int")
     model = toxicity.fit(one)
