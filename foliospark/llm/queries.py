@@ -12,6 +12,7 @@ from foliospark.llm.jaccard import link_similar
 from foliospark.llm.langid import fit, identify
 from foliospark.llm.licenses import scan_licenses
 from foliospark.llm.linededup import dedup_lines
+from foliospark.llm.merkle import manifest
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
 from foliospark.llm.sharding import shard
@@ -215,3 +216,81 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select(
         "doc_id", held_out().alias("held_out"), "score", "predicted"
     )
+
+
+_FIELD_SQL = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(_FIELD_SQL.format(f) for f in fields) + ")"
+
+
+# crc32 of the decimal key, byte by byte and bit by bit
+_CRC_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: ascii(c)::BIGINT)), lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+    SELECT *, row_number() OVER tree - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM (
+        SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS grp,
+               {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC_SQL} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")}
+                    ELSE {_leaf_sql("text")} END AS amended
+        FROM documents)
+    WINDOW tree AS (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, amended)),
+trees AS (
+    SELECT 0 AS level, grp, pos, leaf AS digest, n FROM leaves
+    UNION ALL
+    SELECT any_value(level) + 1, grp, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value(n + 2) // 3
+    FROM trees WHERE n > 1 GROUP BY grp, pos // 3),
+nodes AS MATERIALIZED (SELECT * FROM trees),
+subroots AS MATERIALIZED (
+    SELECT grp, digest, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+last AS (
+    SELECT 0 AS level, pos, digest, n FROM subroots
+    UNION ALL
+    SELECT any_value(level) + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), any_value(n + 2) // 3
+    FROM last WHERE n > 1 GROUP BY pos // 3),
+tops AS MATERIALIZED (SELECT * FROM last),
+heights AS (SELECT grp, max(level) AS h FROM nodes GROUP BY grp),
+steps AS (
+    SELECT rid, x.level,
+           string_agg(y.digest, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos) AS l,
+           string_agg(y.digest, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos) AS r
+    FROM leaves JOIN heights USING (grp) JOIN nodes x ON x.grp = leaves.grp AND x.level < h
+         AND x.pos = leaves.pos // CAST(power(3, x.level) AS BIGINT)
+    JOIN nodes y ON y.grp = x.grp AND y.level = x.level AND y.pos // 3 = x.pos // 3
+    GROUP BY ALL
+    UNION ALL
+    SELECT rid, h + x.level,
+           string_agg(y.digest, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos),
+           string_agg(y.digest, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos)
+    FROM leaves JOIN heights USING (grp) JOIN subroots s USING (grp)
+    JOIN tops x ON x.n > 1 AND x.pos = s.pos // CAST(power(3, x.level) AS BIGINT)
+    JOIN tops y ON y.level = x.level AND y.pos // 3 = x.pos // 3
+    GROUP BY rid, h, x.level, x.pos),
+ways AS (
+    SELECT rid, list({{'l': coalesce(l, ''), 'r': coalesce(r, '')}} ORDER BY level) AS way FROM steps GROUP BY rid),
+folds AS (
+    SELECT rid, 1 AS i, amended AS digest FROM leaves
+    UNION ALL
+    SELECT f.rid, i + 1, sha256(way[i].l || digest || way[i].r) FROM folds f JOIN ways USING (rid) WHERE i <= len(way)),
+folded AS (SELECT rid, arg_max(digest, i) AS folded_root FROM folds GROUP BY rid)
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root,
+       sha256(coalesce(array_to_string(list_transform(way, lambda w: w.l || w.r), ''), '')) AS proof_sha256,
+       folded_root, folded_root = t.digest AS verified
+FROM leaves JOIN subroots s USING (grp) JOIN tops t ON t.n = 1 JOIN folded USING (rid) LEFT JOIN ways USING (rid)
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    amended = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return manifest(docs, amended, tampered).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
