@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from foliospark.llm import toxicity
 from foliospark.llm.decontam import find_leaks
+from foliospark.llm.impact import rank
 from foliospark.llm.jaccard import link_similar
 from foliospark.llm.langid import fit, identify
 from foliospark.llm.licenses import scan_licenses
@@ -15,6 +16,7 @@ from foliospark.llm.linededup import dedup_lines
 from foliospark.llm.merkle import manifest
 from foliospark.llm.packing import pack
 from foliospark.llm.quality import rate_quality
+from foliospark.llm.rabitq import nearest
 from foliospark.llm.sharding import shard
 from foliospark.llm.tables import sized
 from foliospark.llm.tokencount import with_token_counts
@@ -294,3 +296,58 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(docs, amended, tampered).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
+
+
+_TERMS_SQL = (
+    "regexp_extract_all(" + _LOWER_SQL.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+RANKED_SQL = f"""
+WITH words AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {_TERMS_SQL} AS w FROM documents),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM words),
+counts AS MATERIALIZED (
+    SELECT rid, doc_id, term, n, count(*) AS tf
+    FROM (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM words) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, totals GROUP BY term, nd),
+asked AS (
+    SELECT irow, item_id, term, count(*) AS c FROM (
+        SELECT row_number() OVER () AS irow, item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+    SELECT irow, item_id, rid, doc_id,
+           CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nd) // nt)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term), totals GROUP BY ALL),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY irow ORDER BY score DESC, doc_id NULLS LAST) AS place
+    FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
+@query("op13_ranked_search", RANKED_SQL)
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    return rank(documents(spark, folder).select("doc_id", "text"), benchmark, k=10)
+
+
+NEAREST_SQL = """
+WITH usable AS MATERIALIZED (
+    SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+measured AS (
+    SELECT q.vec_id AS query_id, c.vec_id, q.v,
+           sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])),
+                            lambda s, x: s + x)) AS score
+    FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id, v ORDER BY score, vec_id) AS place FROM measured)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+
+@query("op12_one_bit_neighbours", NEAREST_SQL)
+def one_bit_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return nearest(vectors, F.col("vec_id") % 100 == 0, k=10)

@@ -33,3 +33,26 @@ def rows() -> list[tuple]:
 
 def frame(spark, empty: bool = False):
     return spark.createDataFrame([] if empty else rows(), SCHEMA)
+
+
+def vector_rows() -> list[tuple]:
+    """Copies by the dozen, ties, unusable vectors, another length, repeated rows."""
+    rng = random.Random(8)
+    out = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(120)]
+    out += [(1000 + i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(40)]
+    out += [(2000 + i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0 + 0.5 * (-1) ** i]) for i in range(40)]
+    out += [(5000, [0.0] * 6), (5100, None), (5200, []), (5300, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
+    out += [(5400, [float("nan")] * 6), (5500, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
+    out += [(6000, [1.0, 2.0]), (6001, [1.0, 2.5]), (6002, [-0.0, 1.0]), out[0], out[0], out[125]]
+    return out
+
+
+def vectors(spark, empty: bool = False):
+    rows = [] if empty else [(i, v, 1) for i, v in vector_rows()]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
+
+
+def items(spark, empty: bool = False):
+    texts = [None, "", "same line", prose(1, 60), "GNU General Public License", "x", prose(1, 60), "straße É"]
+    rows = [] if empty else [(i, t, 1.0) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "item_id long, text string, score double")

@@ -15,7 +15,9 @@ from tests.oracle import connect, differences
 @pytest.fixture(scope="module", params=[False, True], ids=["edge rows", "empty"])
 def folder(request, spark):
     path = new_path(spark, "edge").removeprefix("file:")
-    edge.frame(spark, request.param).coalesce(1).write.parquet(f"{path}/documents.parquet")
+    tables = {"documents": edge.frame, "benchmark": edge.items, "embeddings": edge.vectors}
+    for name, frame in tables.items():
+        frame(spark, request.param).coalesce(1).write.parquet(f"{path}/{name}.parquet")
     return path
 
 
@@ -23,7 +25,8 @@ def folder(request, spark):
 def test_edge_rows_equal_sql(spark, folder, name):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
     q = LLM[name]
     assert differences(q.run(spark, folder), con, q.sql) == []
 
