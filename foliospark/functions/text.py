@@ -121,7 +121,7 @@ def ngrams(words: Column | str, low: int, high: int) -> Column:
 def run_starts(items: Column | str) -> Column:
     """Sorted array of items to array of `struct(item, at)`: where each new item starts."""
     items = _col(items)
-    before = F.concat(F.array(F.lit(None).cast("string")), items)
+    before = F.concat(F.array(F.lit(None)), items)
     placed = F.zip_with(
         F.transform(items, lambda item, i: F.struct(item.alias("item"), i.alias("at"))),
         F.slice(before, F.lit(1), F.size(items)),

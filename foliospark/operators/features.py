@@ -17,11 +17,11 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from foliospark.functions import text
 from foliospark.functions.stopwords import english_stop_words
-from foliospark.plans.scratch import written
+from foliospark.operators import dictionary, vocabulary
+from foliospark.operators.vocabulary import TermTable
 
 
 def with_grams(
@@ -44,12 +44,8 @@ def term_counts(df: DataFrame, id_column: str, grams: str = "grams") -> DataFram
     The outer form of explode keeps the optimizer from adding a second
     evaluation of the whole array as a not-empty filter.
     """
-    ordered = df.select(id_column, F.sort_array(grams).alias("_sorted"))
-    starts = ordered.select(
-        id_column, text.run_starts("_sorted").alias("_starts"), F.size("_sorted").alias("_size")
-    )
-    runs = text.run_lengths("_starts", F.col("_size"))
-    pairs = starts.select(id_column, F.explode_outer(runs).alias("_pair"))
+    runs = vocabulary.run_counts(df, grams, [id_column])
+    pairs = runs.select(id_column, F.explode_outer("runs").alias("_pair"))
     return pairs.where(F.col("_pair").isNotNull()).select(
         id_column, F.col("_pair.item").alias("term"), F.col("_pair.n").alias("tf")
     )
@@ -60,43 +56,34 @@ def document_count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def fit_vocabulary(
-    counts: DataFrame,
-    n_docs: Column,
-    min_df: int = 2,
-    max_df: float = 0.95,
-    max_features: int = 5000,
-) -> DataFrame:
-    """Rows `(term, total, df)`: the most frequent terms within the document limits.
-
-    One shuffle of partially summed terms. The size is bounded by
-    `max_features`, and the table is written once so that its real size decides
-    how later joins ship it.
-    """
-    terms = counts.groupBy("term").agg(
-        F.sum("tf").alias("total"), F.count("*").alias("df")
+def vocab_join(df: DataFrame, table: TermTable, id_column: str, grams: str = "grams") -> DataFrame:
+    """Rows `(id, term, tf)` of the vocabulary's terms only, looked up inside the row."""
+    counts = vocabulary.known_counts(df, table, id_column, grams)
+    pairs = counts.select(id_column, F.explode_outer("runs").alias("_pair")).where(F.col("_pair").isNotNull())
+    return pairs.select(
+        id_column, table.term(F.col("_pair.item")).alias("term"), F.col("_pair.n").alias("tf")
     )
-    kept = terms.where((F.col("df") >= min_df) & (F.col("df") <= n_docs * F.lit(max_df)))
-    return written(kept.orderBy(F.desc("total"), "term").limit(max_features), "vocabulary")
-
-
-def inverse_document_frequency(df: Column | str, n_docs: Column) -> Column:
-    """Smoothed idf plus one."""
-    df = F.col(df) if isinstance(df, str) else df
-    return F.log((F.lit(1) + n_docs) / (F.lit(1) + df)) + F.lit(1)
 
 
-def tfidf(counts: DataFrame, vocabulary: DataFrame, n_docs: Column, id_column: str) -> DataFrame:
+def tfidf(df: DataFrame, table: TermTable, id_column: str, grams: str = "grams") -> DataFrame:
     """Rows `(id, term, tfidf)` with unit length per document.
 
-    The vocabulary side has at most `max_features` rows. One shuffle by
-    document for the length; a document's terms are bounded by the vocabulary.
+    One scan: terms are looked up, counted, weighted and scaled inside the row, and
+    only those of the vocabulary become rows. Nothing is exchanged.
     """
-    weighted = counts.join(vocabulary, "term").select(
-        id_column, "term", (F.col("tf") * inverse_document_frequency("df", n_docs)).alias("_w")
+
+    def weight(run: Column) -> Column:
+        return F.struct(run["item"].alias("slot"), (run["n"] * table.idf(run["item"])).alias("w"))
+
+    counts = vocabulary.known_counts(df, table, id_column, grams)
+    weighted = counts.select(id_column, F.transform("runs", weight).alias("_weights"))
+    squares = F.aggregate("_weights", F.lit(0.0), lambda total, x: total + x["w"] * x["w"])
+    scaled = weighted.select(
+        id_column, F.sqrt(squares).alias("_length"), F.explode_outer("_weights").alias("_x")
+    )
+    return scaled.where(F.col("_x").isNotNull()).select(
+        id_column, table.term(F.col("_x.slot")).alias("term"), F.try_divide("_x.w", "_length").alias("tfidf")
     )
-    lengths = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_column)))
-    return weighted.select(id_column, "term", F.try_divide("_w", lengths).alias("tfidf"))
 
 
 def numeric_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -114,21 +101,23 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str | Non
     )
 
 
-def column_levels(df: DataFrame, column: str, max_levels: int = 10_000) -> list[str]:
-    """Sorted distinct values of a categorical column; refuses an unbounded one."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels")
-    return sorted(r[0] for r in rows)
+def column_levels(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column that is to become columns; `dictionary` takes any number."""
+    return [r["level"] for r in dictionary.fit_dictionary(df, column).orderBy("index").collect()]
 
 
 def fit_label_encoder(df: DataFrame, column: str, output: str = "label") -> StringIndexerModel:
-    """Classes to 0..k-1 in sorted order. The transform is a lookup inside the row."""
+    """Classes of a model to 0..k-1 in sorted order, for MLlib; the model is of that size anyway."""
     return StringIndexer(
         inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid="keep"
     ).fit(df)
 
 
+def label_encode(df: DataFrame, column: str, output: str = "label") -> DataFrame:
+    """Values to 0..k-1 in sorted order, null for null, for any number of values."""
+    return dictionary.encode(df, dictionary.fit_dictionary(df, column), column, output)
+
+
 def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
     """Zero mean and unit population variance; a constant column becomes 0."""
     stats = df.agg(
@@ -177,7 +166,6 @@ class TextVectorizer:
     def fit(
         cls,
         df: DataFrame,
-        id_column: str,
         grams: str = "grams",
         min_df: int = 2,
         max_df: float = 0.95,
@@ -185,11 +173,9 @@ class TextVectorizer:
     ) -> "TextVectorizer":
         """Fit on `df`. Only the vocabulary, at most `max_features` rows, reaches the driver."""
         n_docs = document_count(df)
-        vocabulary = fit_vocabulary(
-            term_counts(df, id_column, grams), n_docs, min_df, max_df, max_features
-        )
+        terms = vocabulary.fit_vocabulary(df, n_docs, grams, min_df, max_df, max_features)
         rows = (
-            vocabulary.select("term", "total", inverse_document_frequency("df", n_docs).alias("idf"))
+            terms.select("term", "total", vocabulary.inverse_document_frequency("df", n_docs).alias("idf"))
             .orderBy(F.desc("total"), "term")
             .collect()
         )

@@ -258,9 +258,7 @@ def prepare(
     encoder = features.fit_label_encoder(table, inputs.target).setHandleInvalid("error")
     encoded = features.with_grams(encoder.transform(table), inputs.text, ngram_range)
     train, test = train_test_split(encoded, inputs.id_column, test_size, seed)
-    vectorizer = features.TextVectorizer.fit(
-        train, inputs.id_column, max_features=max_features
-    )
+    vectorizer = features.TextVectorizer.fit(train, max_features=max_features)
     stages, columns, dummies = list(vectorizer.stages), [vectorizer.output, *inputs.numeric], []
     for c in inputs.categorical:
         lookup, vector, levels = features.fit_levels(train, c)

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from foliospark.plans.ordering import join_null_safe, running_totals
+from foliospark.plans.scratch import written
+
 # Tags under this prefix belong to the tracking system itself.
 SYSTEM_TAG_PREFIX = "mlflow."
 
@@ -277,19 +280,74 @@ def newest_runs(runs: DataFrame, n: int, statuses: Sequence[str] | None = None)
     return kept.orderBy(F.col("created").desc_nulls_last(), "run_id").limit(n)
 
 
-def top_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int) -> DataFrame:
-    """The first n rows of every group.
+#: Up to this many rows of a group, Spark itself cuts every group before the shuffle.
+_GROUP_LIMIT = 1000
+#: Size of a quantile sketch, and a share of the rows that its ranks are surely not off by.
+_SKETCH_SIZE, _RANK_ERROR = 2000, 0.005
+
+
+def _ordinal(df: DataFrame, by: str) -> Column:
+    """The column as a number with the same order."""
+    kind = dict(df.dtypes)[by]
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(by).cast("timestamp"))
+    if kind == "date":
+        return F.unix_date(by)
+    return F.col(by)
+
 
-    `row_number() <= n` lets Spark cut every group to n rows per task before the
-    shuffle, so a very large group costs no more than a small one.
+def at_least_nth(df: DataFrame, group: str, by: str, n: int) -> DataFrame:
+    """The rows of each group that may be among its n with the largest `by`, without sorting.
+
+    A quantile sketch of each group gives a value that the n-th is surely not below.
+    The bound is counted before it is used, so no such row is lost; groups of fewer
+    than n values stay whole. Rows equal to the bound stay.
     """
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return ranked.where(F.col("rank") <= n)
+    value = _ordinal(df, by).cast("double")
+    number = F.when(~F.isnan(value), value)
+    sketched = df.groupBy(group).agg(
+        F.count(number).alias("_n"), F.kll_sketch_agg_double(number, F.lit(_SKETCH_SIZE)).alias("_sketch")
+    )
+    # a sketch is asked for fixed ranks: the shares above them shrink by a sixth from one to the next
+    ranks = F.array(*[F.lit(1 - 2 ** (-i / 4)) for i in range(41)])
+    above = F.lit(n) / F.col("_n") + _RANK_ERROR
+    step = F.least(F.floor(-4 * F.log2(above)), F.lit(40)).cast("int")
+    bounds = sketched.where((F.col("_n") > n) & (above < 1)).select(
+        group, F.get(F.kll_sketch_get_quantile_double("_sketch", ranks), step).alias("_bound")
+    )
+    bounds = written(bounds, "bounds")
+    reached = join_null_safe(df.select(group, number.alias("_v")), bounds, [group]).where("_v >= _bound")
+    enough = reached.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") >= n).select(group)
+    bounds = written(join_null_safe(bounds, enough, [group], "left_semi"), "bounds")
+    kept = join_null_safe(df, bounds, [group], "left").where(
+        F.col("_bound").isNull() | F.isnan(value) | (value >= F.col("_bound"))
+    )
+    return kept.drop("_bound")
+
+
+def top_per_group(df: DataFrame, group: str, by: str, tie: str, n: int) -> DataFrame:
+    """The first n rows of every group by `by` descending, nulls last, then `tie`, with their `rank`.
+
+    Up to a thousand, `row_number() <= n` lets Spark cut every group to n rows per
+    task before the shuffle. Beyond, rows below the n-th value are dropped by a
+    sketch first and the rest are ranked over ranges, so no task holds a group.
+    """
+    if n <= _GROUP_LIMIT:
+        order = Window.partitionBy(group).orderBy(F.col(by).desc_nulls_last(), F.col(tie))
+        return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    kept = at_least_nth(df, group, by, n)
+    value = _ordinal(kept, by)
+    if dict(kept.dtypes)[by] in ("double", "float"):
+        value = F.when(F.isnan(value), float("inf")).otherwise(value)
+    ranked = running_totals(
+        kept.withColumn("_down", -value), ["_down", tie], {"rank": F.lit(1).cast("bigint")}, [group]
+    )
+    return ranked.where(F.col("rank") <= n).drop("_down").withColumn("rank", F.col("rank").cast("int"))
 
 
 def top_per_algorithm(runs: DataFrame, algorithms: Sequence[str], n: int = 10) -> DataFrame:
     wanted = runs.where(F.col("algorithm").isin(list(algorithms)))
-    return top_per_group(wanted, "algorithm", [F.col("created").desc_nulls_last(), F.col("run_id")], n)
+    return top_per_group(wanted, "algorithm", "created", "run_id", n)
 
 
 def union_algorithms(runs: DataFrame, algorithms: Sequence[str]) -> DataFrame:

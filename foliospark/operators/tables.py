@@ -92,10 +92,10 @@ def top_by_scores(results: DataFrame, columns: Sequence[str], n: int = 5) -> Dat
         *[F.struct(F.lit(c).alias("ranking"), F.col(c).alias("score")) for c in columns]
     )
     stacked = good.select("run_id", "run_name", "algorithm", F.inline(offers))
-    top = top_per_group(stacked, "ranking", [F.col("score").desc_nulls_last(), F.col("run_id")], n)
+    top = top_per_group(stacked, "ranking", "score", "run_id", n)
     return top.withColumnRenamed("rank", "place")
 
 
 def bar_top(metrics: DataFrame, n: int = 10) -> DataFrame:
     """Top n runs per metric."""
-    return top_per_group(metrics, "key", [F.col("value").desc_nulls_last(), F.col("run_id")], n)
+    return top_per_group(metrics, "key", "value", "run_id", n)

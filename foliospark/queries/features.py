@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from foliospark.functions.scores import ABSTRACT_BINS, JOURNAL_GROUPS, JOURNAL_OTHER, split_hash
 from foliospark.functions.stopwords import english_stop_words
-from foliospark.operators import features, model
+from foliospark.operators import dictionary, features, model, vocabulary
 from foliospark.operators.publications import derive_publications
-from foliospark.plans.scratch import written
+from foliospark.operators.vocabulary import TermTable
 from foliospark.queries import views
 from foliospark.queries.publications import _DERIVED_SQL
 from foliospark.queries.registry import query
@@ -48,12 +48,10 @@ def gram_table(spark, folder, ngram_range=(1, 2)):
     return features.with_grams(views.publications(spark, folder), TEXT_COLUMNS, ngram_range)
 
 
-def _counts_and_vocabulary(spark, folder):
-    grams = gram_table(spark, folder)
+def _grams_and_vocabulary(spark, folder):
+    grams = gram_table(spark, folder).select("doc_id", "grams")
     n_docs = features.document_count(views.publications(spark, folder))
-    counts = written(features.term_counts(grams, "doc_id"), "term_counts")  # texts are read once
-    vocabulary = features.fit_vocabulary(counts, n_docs, max_features=MAX_FEATURES)
-    return counts, vocabulary, n_docs
+    return grams, vocabulary.fit_vocabulary(grams, n_docs, max_features=MAX_FEATURES), n_docs
 
 
 @query(
@@ -85,13 +83,13 @@ def _(spark, folder):
 
 @query("vocab_prune", _text_sql("SELECT * FROM vocabulary"))
 def _(spark, folder):
-    return _counts_and_vocabulary(spark, folder)[1]
+    return _grams_and_vocabulary(spark, folder)[1]
 
 
 @query("vocab_join", _text_sql("SELECT doc_id, term, tf::INT AS tf FROM tf JOIN vocabulary USING (term)"))
 def _(spark, folder):
-    counts, vocabulary, _ = _counts_and_vocabulary(spark, folder)
-    return counts.join(vocabulary.select("term"), "term").select("doc_id", "term", "tf")
+    grams, terms, n_docs = _grams_and_vocabulary(spark, folder)
+    return features.vocab_join(grams, TermTable(terms, n_docs), "doc_id")
 
 
 @query(
@@ -103,8 +101,8 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    counts, vocabulary, n_docs = _counts_and_vocabulary(spark, folder)
-    weights = features.tfidf(counts, vocabulary, n_docs, "doc_id")
+    grams, terms, n_docs = _grams_and_vocabulary(spark, folder)
+    weights = features.tfidf(grams, TermTable(terms, n_docs), "doc_id")
     return weights.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -160,8 +158,25 @@ def _(spark, folder):
 )
 def _(spark, folder):
     labelled = views.publications(spark, folder).select("doc_id", "arxiv_categories")
-    encoder = features.fit_label_encoder(labelled, "arxiv_categories")
-    return encoder.transform(labelled).withColumn("label", F.col("label").cast("int"))
+    coded = features.label_encode(labelled, "arxiv_categories")
+    return coded.withColumn("label", F.col("label").cast("int"))
+
+
+@query(
+    "one_hot_sparse",
+    """WITH levels AS (SELECT l_partkey AS level, row_number() OVER (ORDER BY l_partkey) - 1 AS i
+                       FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1)
+       SELECT l_orderkey, l_linenumber, (SELECT count(*) FROM levels) AS size, i AS level_index, 1e0 AS value
+       FROM lineitem JOIN levels ON level = l_partkey""",
+)
+def _(spark, folder):
+    """A column of many levels: every line's part."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    coded = dictionary.one_hot_sparse(lines, dictionary.fit_dictionary(lines, "l_partkey"), "l_partkey", "v")
+    return coded.select(
+        "l_orderkey", "l_linenumber", "v.size", F.get("v.indices", F.lit(0)).alias("level_index"),
+        F.get("v.values", F.lit(0)).alias("value"),
+    )
 
 
 @query(
@@ -226,7 +241,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     grams = gram_table(spark, folder)
-    vectorizer = features.TextVectorizer.fit(grams, "doc_id", max_features=MAX_FEATURES)
+    vectorizer = features.TextVectorizer.fit(grams, max_features=MAX_FEATURES)
     vectors = features.assemble(vectorizer.transform(grams), ["text", "year", "cited_by"])
     counts = vectors.select(Summarizer.numNonZeros(F.col("features")).alias("c"))
     return counts.select(F.posexplode(vector_to_array("c")).alias("feature", "non_zero")).select(

@@ -496,6 +496,20 @@ def _(spark, folder):
     return top.select("run_id", "algorithm", "created", "rank")
 
 
+@query(
+    "top_5000_per_status",
+    with_views(
+        "runs",
+        "SELECT run_id, status, test_accuracy, row_number() OVER (PARTITION BY status ORDER BY test_accuracy DESC "
+        "NULLS LAST, run_id)::INT AS rank FROM runs QUALIFY rank <= 5000",
+    ),
+)
+def _(spark, folder):
+    """Far more rows of a group than a task could be cut to: a sketch drops the rest."""
+    runs = views.runs(spark, folder).select("run_id", "status", "test_accuracy")
+    return ops.top_per_group(runs, "status", "test_accuracy", "run_id", 5000)
+
+
 @query(
     "latest_version",
     with_views("model_versions", "SELECT name, stage, max(version) AS version FROM model_versions GROUP BY ALL"),

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.operators import evaluate, features, model, monitor, profile, publications, runs, stats
-from foliospark.operators import tables, versions
+from foliospark.operators import tables, versions, vocabulary
+from foliospark.operators.vocabulary import TermTable
 from foliospark.plans.ordering import exact_median, running_totals
 
 
@@ -214,10 +215,9 @@ def test_vector_and_table_tfidf_agree(spark):
     df = spark.createDataFrame(DOCS, "id int, body string")
     grams = features.with_grams(df, ["body"], (1, 2))
     n_docs = features.document_count(df)
-    counts = features.term_counts(grams, "id")
-    vocabulary = features.fit_vocabulary(counts, n_docs)
-    table = {(r["id"], r["term"]): r["tfidf"] for r in features.tfidf(counts, vocabulary, n_docs, "id").collect()}
-    vectorizer = features.TextVectorizer.fit(grams, "id")
+    known = TermTable(vocabulary.fit_vocabulary(grams, n_docs), n_docs)
+    table = {(r["id"], r["term"]): r["tfidf"] for r in features.tfidf(grams, known, "id").collect()}
+    vectorizer = features.TextVectorizer.fit(grams)
     vectors = {
         (r["id"], vectorizer.terms[i]): v
         for r in vectorizer.transform(grams).collect()
