@@ -32,6 +32,8 @@ BITS = 2
 ERRORS = 3.0
 #: Vectors and queries that are matched at once.
 VECTORS, QUERIES = 1024, 128
+#: A task bundles about this many times VECTORS vectors of a cell.
+SPLIT = 16
 SEED = 11
 
 _KEY = ["h1", "h2"]
@@ -42,6 +44,11 @@ class Index(NamedTuple):
 
     centroids: np.ndarray
     rotation: np.ndarray  # dimensions by bits, with orthonormal rows
+    splits: np.ndarray  # tasks among which the vectors of a cell are dealt
+
+    def salt(self, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        spread = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        return (spread % self.splits[cell].astype(np.uint64)).astype(np.int32)
 
 
 def fit_index(sample: np.ndarray, n_rows: int, seed: int = SEED) -> Index:
@@ -58,7 +65,9 @@ def fit_index(sample: np.ndarray, n_rows: int, seed: int = SEED) -> Index:
         centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centroids)
     bits = -(-BITS * dims // 64) * 64
     turned, _ = np.linalg.qr(rng.standard_normal((bits, dims)))
-    return Index(centroids, np.ascontiguousarray(turned.T))
+    share = np.bincount(_nearest(sample, centroids), minlength=k) / len(sample)
+    splits = np.ceil(share * n_rows / (SPLIT * VECTORS)).clip(1).astype(np.int64)
+    return Index(centroids, np.ascontiguousarray(turned.T), splits)
 
 
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -96,16 +105,18 @@ def _encode(index: Index):
             fit = np.abs(turned).sum(1) / math.sqrt(bits)  # inner product of direction and code
             codes = np.packbits(turned >= 0, axis=1)
             kept = [c for c in batch.schema.names if c != "vector"]
+            ids = batch.column(kept[0]).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in kept],
                     pa.array(cell.astype(np.int32)),
+                    pa.array(index.salt(cell, ids)),
                     pa.array(radius),
                     pa.array(np.where(radius > 0, fit, 1.0)),
                     pa.array([c.tobytes() for c in codes], pa.binary()),
                     pa.array([r.tobytes() for r in rows], pa.binary()),
                 ],
-                [*kept, "cell", "radius", "fit", "code", "vector"],
+                [*kept, "cell", "salt", "radius", "fit", "code", "vector"],
             )
 
     return run
@@ -156,11 +167,11 @@ def _pack(size: int, columns: list[str]):
     return run
 
 
-def _distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Distances in double precision, the squares added up in the order of the coordinates."""
-    out = np.zeros(len(rows))
-    for j in range(len(query)):
-        step = rows[:, j] - query[j]
+def _distances(rows: np.ndarray, queries: np.ndarray, at: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Distances of rows[at] to queries[of], the squares added up in the order of the coordinates."""
+    out = np.zeros(len(at))
+    for row, query in zip(np.ascontiguousarray(rows.T), np.ascontiguousarray(queries.T)):
+        step = row[at] - query[of]
         out += step * step
     return np.sqrt(out)
 
@@ -168,7 +179,7 @@ def _distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 def _scan(index: Index, k: int):
     """A function from (queries, vectors) of a cell to the exact distances that can matter."""
 
-    def matched(row: dict) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def matched(row: dict) -> pa.RecordBatch:
         dims, bits = index.rotation.shape
         centroid = index.centroids[row["cell"]]
         n = row["size"]
@@ -193,30 +204,23 @@ def _scan(index: Index, k: int):
         if n >= k:  # k vectors are no further than this
             most = np.sqrt(np.maximum(np.partition(middle + room, k - 1, axis=0)[k - 1], 0.0))
             limits = np.minimum(limits, most)
-        for i in range(len(queries)):
-            rows = np.flatnonzero(least[:, i] <= limits[i] * (1 + 1e-9))
-            exact = _distances(vectors[rows], queries[i])
-            best = np.lexsort((ids[rows], exact))[:k]
-            best = best[exact[best] <= limits[i] * (1 + 1e-9)]
-            if len(best):
-                yield keys[0][i], keys[1][i], ids[rows[best]], exact[best]
+        limits = limits * (1 + 1e-9)
+        of, at = np.nonzero((least <= limits).T)
+        exact = _distances(vectors, queries, at, of)
+        order = np.lexsort((ids[at], exact, of))
+        order = order[exact[order] <= limits[of[order]]]
+        of, at, exact = of[order], at[order], exact[order]
+        best = np.arange(len(of)) - np.searchsorted(of, of) < k
+        of, at, exact = of[best], at[best], exact[best]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[0][of]), pa.array(keys[1][of]), pa.array(ids[at]), pa.array(exact)],
+            [*_KEY, "vec_id", "score"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                one = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
-                found = list(matched(one))
-                if found:
-                    sizes = [len(x) for *_, x in found]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat([f[0] for f in found], sizes)),
-                            pa.array(np.repeat([f[1] for f in found], sizes)),
-                            pa.array(np.concatenate([f[2] for f in found])),
-                            pa.array(np.concatenate([f[3] for f in found])),
-                        ],
-                        [*_KEY, "vec_id", "score"],
-                    )
+                yield matched({c: batch.column(c)[row].as_py() for c in batch.schema.names})
 
     return run
 
@@ -239,18 +243,19 @@ def _visits(index: Index, cells: np.ndarray, reaches: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(cells[cell].astype(np.int32)),
+                    pa.array(index.salt(cells[cell], taken.column("h1").to_numpy())),
                     *[taken.column(c) for c in ("h1", "h2", "q_vector", "q_limit")],
                 ],
-                ["cell", *_KEY, "q_vector", "q_limit"],
+                ["cell", "salt", *_KEY, "q_vector", "q_limit"],
             )
 
     return run
 
 
-def _packed(rows: DataFrame, size: int, columns: list[str], salt: str) -> DataFrame:
-    """Rows of a cell in bundles, those of a hot cell made by several tasks."""
+def _packed(rows: DataFrame, size: int, columns: list[str]) -> DataFrame:
+    """Rows of a cell in bundles, those of a large cell made by several tasks."""
     kinds = ", ".join(f"{c} binary" for c in columns)
-    dealt = rows.repartition("cell", F.pmod(F.xxhash64(salt), F.lit(16))).sortWithinPartitions("cell")
+    dealt = rows.repartition("cell", "salt").sortWithinPartitions("cell")
     return dealt.mapInArrow(_pack(size, columns), f"cell int, part long, size int, reach double, {kinds}")
 
 
@@ -278,19 +283,19 @@ def _search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     sample = candidates.where(drawn).select("vector").limit(2 * SAMPLE * CENTROIDS).toArrow()
     index = fit_index(_matrix(sample["vector"].combine_chunks()), n)
 
-    encoded = "{} long, cell int, radius double, fit double, code binary, vector binary"
+    encoded = "{} long, cell int, salt int, radius double, fit double, code binary, vector binary"
     vector_rows = candidates.select("vec_id", "vector").mapInArrow(_encode(index), encoded.format("vec_id"))
     parts = ["vec_id", "radius", "fit", "code", "vector"]
-    blocks = written(_packed(vector_rows, VECTORS, parts, "vec_id"), "blocks")
+    blocks = written(_packed(vector_rows, VECTORS, parts), "blocks")
     reaches = blocks.groupBy("cell").agg(F.max("reach").alias("reach")).toArrow()
 
     queries = vectors.where(is_query).select(*_KEY, "vector").dropDuplicates(_KEY)
     queries = queries.mapInArrow(_encode(index), encoded.format("h1 long, h2"))
-    queries = queries.select(*_KEY, "cell", F.col("vector").alias("q_vector"))
+    queries = queries.select(*_KEY, "cell", "salt", F.col("vector").alias("q_vector"))
     queries = written(queries, "queries")
 
     def scanned(visits: DataFrame) -> DataFrame:
-        bundles = _packed(visits, QUERIES, [*_KEY, "q_vector", "q_limit"], "h1")
+        bundles = _packed(visits, QUERIES, [*_KEY, "q_vector", "q_limit"])
         pairs = bundles.drop("part", "size", "reach").join(blocks, "cell")
         found = pairs.mapInArrow(_scan(index, k + 1), "h1 long, h2 long, vec_id long, score double")
         return written(_best_of(found, k + 1, _KEY), "found")
@@ -302,7 +307,7 @@ def _search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     )
     further = bounded.mapInArrow(
         _visits(index, reaches["cell"].to_numpy(), reaches["reach"].to_numpy()),
-        "cell int, h1 long, h2 long, q_vector binary, q_limit double",
+        "cell int, salt int, h1 long, h2 long, q_vector binary, q_limit double",
     )
     return _best_of(near.union(scanned(further)).drop("rank"), k + 1, _KEY).drop("rank")
 
