@@ -80,10 +80,46 @@ def _(spark, folder):
     return feed.publications_from_entries(feed.read_feed(spark, written_feed(spark, folder)))
 
 
-@query("src_feed_bad_rows", f"SELECT {_URL_SQL} AS id FROM documents WHERE doc_id % 11 = 0")
+def written_broken_feed(spark, folder) -> str:
+    """Feed files with all parts, in which some entries are malformed and some lack parts."""
+    path = new_path(spark, "broken_feed")
+    entries = feed_entries(spark, folder)
+    plain = F.struct(*[c for c in entries.columns if not c.startswith("arxiv:")])
+    prefixed = F.concat(
+        *[
+            F.coalesce(F.concat(F.lit(f"<{c}>"), F.col(f"`{c}`"), F.lit(f"</{c}>")), F.lit(""))
+            for c in ("arxiv:journal_ref", "arxiv:doi")
+        ]
+    )
+    end = F.lit("</entry>")
+    whole = F.replace(F.to_xml(plain, {"rowTag": "entry"}), end, F.concat(prefixed, end))
+    number = F.substring_index("id", "/", -1).cast("long")
+    broken = (
+        F.when(number % 13 == 0, F.replace(whole, F.lit("</title>"), F.lit("</titel>")))
+        .when(number % 17 == 0, F.replace(whole, F.lit("</author>"), F.lit("")))
+        .when(number % 19 == 0, F.replace(whole, end, F.lit("")))
+        .otherwise(whole)
+    )
+    entries.select(broken.alias("value")).write.text(path)
+    return path
+
+
+_BROKEN_SQL = "(doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0)"
+
+
+@query(
+    "src_feed_bad_rows",
+    f"""SELECT {_URL_SQL} AS id, {_BROKEN_SQL} AS malformed FROM documents
+        WHERE {_BROKEN_SQL} OR doc_id % 11 = 0 OR coalesce({_STRIPPED}, '') = ''""",
+)
+def _(spark, folder):
+    _, rejects = feed.split_entries(feed.read_feed(spark, written_broken_feed(spark, folder)))
+    return rejects.select(feed.rejected_id().alias("id"), F.col(feed.CORRUPT).isNotNull().alias("malformed"))
+
+
+@query("src_feed_recovered", f"{_PUBLICATION_SQL} AND NOT {_BROKEN_SQL}")
 def _(spark, folder):
-    _, rejects = feed.split_entries(feed.read_feed(spark, written_feed(spark, folder)))
-    return rejects.select("id")
+    return feed.publications_from_entries(feed.read_feed(spark, written_broken_feed(spark, folder)))
 
 
 @query(

@@ -20,20 +20,38 @@ NO_CITATIONS = 0
 NO_DATASET = "N/A"
 
 
+#: Files are cut behind each of these.
+ENTRY_END = "</entry>"
+_ENTRY_START = r"(?=<entry[\s>])"
+
+
 def feed_schema() -> T.StructType:
     return T.StructType([*FEED_ENTRY.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def entries_from_pieces(pieces: DataFrame) -> DataFrame:
+    """One row per entry from texts `value` cut at entry ends, each parsed by itself.
+
+    A malformed entry keeps its text in the corrupt-record column and costs no other;
+    one without its end tag shares a piece with the entry behind it and is cut off there.
+    The same plan serves batch and streams.
+    """
+    parts = F.filter(F.split("value", _ENTRY_START), lambda p: p.startswith("<entry"))
+    cut = pieces.select(parts.alias("_parts"))
+    last = F.size("_parts") - 1
+    whole = F.transform("_parts", lambda p, i: F.when(i == last, F.concat(p, F.lit(ENTRY_END))).otherwise(p))
+    texts = cut.select(F.explode(whole).alias("_text"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "rowTag": ROW_TAG}
+    parsed = F.from_xml("_text", feed_schema(), options)
+    return texts.select(parsed.alias("_entry")).select("_entry.*")
+
+
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per entry; a malformed one keeps its text in the corrupt-record column."""
-    return (
-        spark.read.format("xml")
-        .option("rowTag", ROW_TAG)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(feed_schema())
-        .load(path)
-    )
+    """One row per entry; a malformed one keeps its text in the corrupt-record column.
+
+    Files are split where Spark likes; a split starts behind the next entry end.
+    """
+    return entries_from_pieces(spark.read.text(path, lineSep=ENTRY_END))
 
 
 def _usable() -> Column:
@@ -48,6 +66,11 @@ def _year() -> Column:
     return F.get(F.split("published", "-"), F.lit(0)).try_cast("int")
 
 
+def rejected_id() -> Column:
+    """Id of a rejected entry, from its text if it could not be parsed."""
+    return F.coalesce("id", F.nullif(F.regexp_extract(CORRUPT, r"<id>([^<]*)</id>", 1), F.lit("")))
+
+
 def split_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable entries and rejects."""
     return entries.where(_usable()), entries.where(~_usable())

@@ -7,37 +7,77 @@ later call with the same checkpoint goes on from there.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from foliospark.operators import monitor
 from foliospark.sources import feed
 
 
-def finish(writer: Any) -> None:
-    """Start a query, wait for its end, and raise what it raised."""
+#: What a finished query says of its micro-batches, oldest first.
+Progress = list[dict[str, Any]]
+
+
+def finish(writer: Any) -> Progress:
+    """Start a query, wait for its end, raise what it raised, and return its progress."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return [dict(json.loads(p.json)) if hasattr(p, "json") else dict(p) for p in query.recentProgress]
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, source: str = "parquet") -> DataFrame:
-    return spark.readStream.format(source).schema(schema).load(path)
+def dropped_rows(progress: Progress) -> dict[str, int]:
+    """Rows that came after the watermark and rows that were there before, over all micro-batches.
+
+    Only of the first stateful operator: what it drops never reaches the others.
+    """
+    late = repeated = 0
+    for batch in progress:
+        states = batch.get("stateOperators") or []
+        if states:
+            first = states[-1]  # the plan is listed from its sink
+            late += first.get("numRowsDroppedByWatermark", 0)
+            repeated += (first.get("customMetrics") or {}).get("numDroppedDuplicateRows", 0)
+    return {"late": late, "repeated": repeated}
+
+
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, source: str = "parquet", max_files: int | None = None
+) -> DataFrame:
+    """Files as they arrive, oldest first; with `max_files` at most so many to a micro-batch."""
+    reader = spark.readStream.format(source).schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path)
 
 
 def status_windows(
-    statuses: DataFrame, out: str, checkpoint: str, delay: str = "1 hour", width: str = "5 minutes"
-) -> None:
+    statuses: DataFrame,
+    out: str,
+    checkpoint: str,
+    delay: str = "1 hour",
+    width: str = "5 minutes",
+    key: str | None = None,
+) -> Progress:
     """Status counts per window; every change of a window is appended with its batch.
 
-    Update mode keeps the state to the windows that can still change; the reader
+    Rows that come after the watermark do not count; with `key`, a row that comes again
+    counts once, and its key stays in the state until the watermark passes it. Update
+    mode keeps the state to the windows that can still change; the reader
     `latest_windows` takes the newest row of each window.
     """
-    counted = monitor.status_windows(statuses.withWatermark("ts", delay), "ts", width)
+    seen = statuses.withWatermark("ts", delay)
+    if key is not None:
+        seen = seen.dropDuplicatesWithinWatermark([key])
+    counted = monitor.status_windows(seen, "ts", width)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch: a batch that is run again replaces its own rows
@@ -45,7 +85,7 @@ def status_windows(
             f"{out}/batch={batch_id:09d}"
         )
 
-    finish(
+    return finish(
         counted.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(append)
@@ -60,52 +100,108 @@ def latest_windows(spark: SparkSession, out: str) -> DataFrame:
     return latest.select("window_start", "_last.*")
 
 
-def ingest_feed(spark: SparkSession, path: str, out: str, checkpoint: str) -> None:
-    """New feed files become publication rows; no state."""
-    entries = (
-        spark.readStream.format("xml")
-        .option("rowTag", feed.ROW_TAG)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", feed.CORRUPT)
-        .schema(feed.feed_schema())
-        .load(path)
-    )
-    rows = feed.publications_from_entries(entries)
-    finish(rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out))
+def ingest_feed(spark: SparkSession, path: str, out: str, checkpoint: str) -> Progress:
+    """New feed files become publication rows; a malformed entry costs only itself. No state."""
+    pieces = spark.readStream.format("text").option("lineSep", feed.ENTRY_END).load(path)
+    rows = feed.publications_from_entries(feed.entries_from_pieces(pieces))
+    return finish(rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", out))
 
 
-def watch_timeouts(
-    starts: DataFrame, ends: DataFrame, max_hours: float, out: str, checkpoint: str, delay: str = "1 hour"
-) -> None:
-    """Runs that are still open `max_hours` after their start.
+STARTED, ALIVE, ENDED = "started", "alive", "ended"
+_TIMEOUTS = "run_id long, started timestamp, deadline timestamp"
+
+
+class TimeoutWatch(StatefulProcessor):
+    """Per run: its start and deadline, and a timer on the deadline.
 
-    `starts(run_id, started)` is outer-joined with `ends(run_id, ended)` inside
-    the allowed time. A start leaves the state when its end arrives in time or
-    when the watermark passes its deadline; only then is it reported, once.
+    A start arms the timer, a sign of life moves it, an end in time takes it away.
     """
-    begun = starts.select("run_id", "started").withWatermark("started", delay)
-    over = ends.select(F.col("run_id").alias("ended_id"), "ended").withWatermark("ended", delay)
-    limit = F.expr(f"INTERVAL {int(max_hours * 3600)} SECONDS")
-    in_time = (
-        (F.col("run_id") == F.col("ended_id"))
-        & (F.col("ended") >= F.col("started"))
-        & (F.col("ended") <= F.col("started") + limit)
-    )
-    late = begun.join(over, in_time, "left_outer").where(F.col("ended_id").isNull())
-    reported = late.select("run_id", "started", (F.col("started") + limit).alias("deadline"))
-    finish(
-        reported.writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", out)
+
+    def __init__(self, seconds: float):
+        self.limit = int(seconds * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "started long, deadline long")
+
+    def _arm(self, started: int, deadline: int) -> None:
+        if self.run.exists():
+            self.handle.deleteTimer(self.run.get()[1])
+        self.run.update((started, deadline))
+        self.handle.registerTimer(deadline)
+
+    def _late(self, key: tuple) -> Iterator[pd.DataFrame]:
+        started, deadline = self.run.get()
+        self.run.clear()
+        times = [pd.Timestamp(t, unit="ms") for t in (started, deadline)]
+        yield pd.DataFrame({"run_id": [key[0]], "started": [times[0]], "deadline": [times[1]]})
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        events = [(int(r.ts.value // 1_000_000), r.kind) for part in rows for r in part.itertuples(index=False)]
+        order = {STARTED: 0, ALIVE: 1, ENDED: 2}
+        for ts, kind in sorted(events, key=lambda e: (e[0], order[e[1]])):
+            if kind == STARTED and not self.run.exists():
+                self._arm(ts, ts + self.limit)
+                continue
+            if not self.run.exists():
+                continue
+            started, deadline = self.run.get()
+            if ts > deadline:  # its time was up before this event
+                self.handle.deleteTimer(deadline)
+                yield from self._late(key)
+            elif kind == ALIVE:
+                self._arm(started, max(deadline, ts + self.limit))
+            elif kind == ENDED:
+                self.handle.deleteTimer(deadline)
+                self.run.clear()
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        if self.run.exists():
+            yield from self._late(key)
+
+    def close(self) -> None:
+        pass
+
+
+def watch_timeouts(
+    events: DataFrame, max_hours: float, out: str, checkpoint: str, delay: str = "1 hour"
+) -> Progress:
+    """Runs that show no end and no sign of life for `max_hours`, each reported once.
+
+    `events(run_id long, ts, kind)` with the kinds started, alive and ended. A run is
+    reported when the watermark passes its deadline or a later event of it comes, and
+    then forgotten; a run that ends in time leaves the state with its end. Events of
+    unknown runs and those that come after the watermark change nothing. The state is
+    one row and one timer for each open run, kept in RocksDB.
+    """
+    spark = events.sparkSession
+    known = [STARTED, ALIVE, ENDED]
+    grouped = events.where(F.col("kind").isin(known)).withWatermark("ts", delay).groupBy("run_id")
+    reported = grouped.transformWithStateInPandas(
+        statefulProcessor=TimeoutWatch(max_hours * 3600),
+        outputStructType=_TIMEOUTS,
+        outputMode="Append",
+        timeMode="EventTime",
     )
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return finish(
+            reported.writeStream.outputMode("append")
+            .format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .option("path", out)
+        )
+    finally:
+        spark.conf.set(provider, before)
 
 
-def append_snapshots(statuses: DataFrame, out: str, checkpoint: str) -> None:
+def append_snapshots(statuses: DataFrame, out: str, checkpoint: str) -> Progress:
     """One snapshot of the status counts per micro-batch, appended to a table."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
         snapshot = monitor.status_counts(batch).withColumn("snapshot", F.lit(batch_id))
         snapshot.write.mode("overwrite").parquet(f"{out}/batch={batch_id:09d}")
 
-    finish(statuses.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append))
+    return finish(statuses.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append))
