@@ -153,7 +153,7 @@ class TextVectorizer:
     """Fitted vocabulary and idf weights as a chain of MLlib transformers."""
 
     def __init__(self, terms: list[str], idf: list[float], grams: str = "grams", output: str = "text"):
-        self.terms = terms
+        self.terms, self.idf, self.grams = terms, idf, grams
         self.output = output
         counter = CountVectorizerModel.from_vocabulary(terms, inputCol=grams, outputCol="_tf")
         weigher = ElementwiseProduct(
@@ -183,6 +183,10 @@ class TextVectorizer:
             raise ValueError("no term is left within the document limits")
         return cls([r["term"] for r in rows], [r["idf"] for r in rows], grams)
 
+    def first(self, size: int) -> "TextVectorizer":
+        """The vectoriser of the `size` most frequent terms."""
+        return TextVectorizer(self.terms[:size], self.idf[:size], self.grams, self.output)
+
     def transform(self, df: DataFrame) -> DataFrame:
         for stage in self.stages:
             df = stage.transform(df)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
-from functools import partial
+from functools import reduce
 from typing import Any
 
-from pyspark import StorageLevel
+import numpy as np
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
@@ -18,22 +19,24 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.scores import split_hash
-from foliospark.operators import evaluate, features
+from foliospark.operators import calibrate, evaluate, features, linear
 from foliospark.plans.ordering import join_null_safe, running_totals
+from foliospark.plans.scratch import written
 
 RANDOM_FOREST = "RandomForestClassifier"
 SVM = "SVM"
 LOGISTIC = "LogisticRegression"
 
 # Training defaults per algorithm. Solvers stop by their tolerance; the
-# limits of iterations are there for fits that never would. The SVM's subgradient rarely
-# reaches its tolerance, and each iteration is a pass over all rows.
+# limits of iterations are there for fits that never would; a result says which it was.
+# The SVM's subgradient rarely reaches its tolerance, and each iteration is a pass over
+# all rows.
 DEFAULTS: dict[str, dict[str, Any]] = {
     RANDOM_FOREST: {
         "n_estimators": 100, "max_depth": 10, "min_samples_leaf": 2,
@@ -69,11 +72,14 @@ SWEEP = [
     ("LR_extended_ngrams", LOGISTIC, {"penalty": "l2", "C": 1.0, "solver": "liblinear"}, 8000, (1, 4)),
 ]
 
+#: N-gram ranges of a sweep whose vectors are kept at the same time.
+RANGES_AT_ONCE = 2
+
 RESULT_SCHEMA = (
     "experiment_name string, algorithm string, status string, training_time double, "
     "test_accuracy double, test_precision double, test_recall double, test_f1_score double, "
     "test_roc_auc double, cv_mean_score double, cv_std_score double, training_samples bigint, "
-    "test_samples bigint, features int, classes int, error string"
+    "test_samples bigint, features int, classes int, converged boolean, error string"
 )
 
 
@@ -184,43 +190,93 @@ def make_classifier(algorithm: str, params: Mapping[str, Any], n_rows: int, seed
     raise ValueError(f"unsupported algorithm: {algorithm}")
 
 
-def predict(model: Model, df: DataFrame) -> DataFrame:
+def predict(
+    model: Model, df: DataFrame, sigmoids: Sequence[tuple[float, float]] | None = None
+) -> DataFrame:
     """Add `prediction` and, where the model has them, class probabilities.
 
-    One-vs-rest logistic margins become probabilities by the logistic function,
-    scaled to sum to one.
+    One-vs-rest logistic margins become probabilities by the logistic function, other
+    margins by their calibrated `sigmoids`, scaled to sum to one.
     """
     scored = model.transform(df)
     if "probability" in scored.columns:
         return scored.withColumn("probability", vector_to_array("probability"))
     sub_models = getattr(model, "models", [])
-    if sub_models and hasattr(sub_models[0], "setProbabilityCol"):
-        margins = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-m)))
-        total = F.aggregate("_p", F.lit(0.0), lambda a, p: a + p)
-        scored = scored.withColumn("_p", margins)
-        return scored.withColumn(
-            "probability", F.transform("_p", lambda p: p / total)
-        ).drop("_p")
+    if sigmoids is None and sub_models and hasattr(sub_models[0], "setProbabilityCol"):
+        sigmoids = [(1.0, 0.0)] * len(sub_models)
+    if sigmoids is not None:
+        return calibrate.with_probabilities(scored, vector_to_array("rawPrediction"), sigmoids)
     return scored
 
 
+def converged(model: Model, max_iter: int | None) -> bool | None:
+    """Whether every solver of the model stopped before its limit; none for models without one."""
+    found = []
+    for part in getattr(model, "models", [model]):
+        if max_iter is None or not getattr(part, "hasSummary", False):
+            return None
+        summary = part.summary() if callable(part.summary) else part.summary
+        found.append(summary.totalIterations < max_iter)
+    return all(found)
+
+
 def fold_accuracy(model: Model, df: DataFrame) -> float | None:
     """Share of right predictions; none for a fold without rows."""
     hits = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     return model.transform(df).agg(hits).first()[0]
 
 
-def cross_validate(
-    train: DataFrame, estimator: Estimator, folds: int = 5, parallelism: int = 5
-) -> list[float]:
+class Pools:
+    """Runs fits side by side, each in a scheduler pool of its own.
+
+    Where the session schedules fairly (`spark.scheduler.mode` FAIR), a long fit does
+    not hold up the short ones; else the pools have no effect.
+    """
+
+    def __init__(self, spark: SparkSession, threads: int = 8):
+        self.spark = spark
+        self.threads = ThreadPoolExecutor(threads)
+
+    def submit(self, pool: str, run: Callable[..., Any], *args: Any) -> Future:
+        def in_pool():
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+            return run(*args)
+
+        return self.threads.submit(inheritable_thread_target(self.spark)(in_pool))
+
+    def __enter__(self) -> "Pools":
+        return self
+
+    def __exit__(self, *_: Any) -> None:
+        self.threads.shutdown(cancel_futures=True)
+
+
+def fit_folds(
+    pools: Pools, pool: str, train: DataFrame, estimator: Estimator, folds: int
+) -> list[Future]:
+    """The fits that leave out one fold each."""
+    return [
+        pools.submit(pool, estimator.fit, train.where(F.col("fold") != k)) for k in range(folds)
+    ]
+
+
+def cross_validate(train: DataFrame, estimator: Estimator, folds: int = 5) -> list[float]:
     """Accuracy on each held-out fold with rows; the folds are fitted side by side as Spark jobs."""
+    with Pools(train.sparkSession, folds) as pools:
+        models = [f.result() for f in fit_folds(pools, "folds", train, estimator, folds)]
+    scores = [fold_accuracy(m, train.where(F.col("fold") == k)) for k, m in enumerate(models)]
+    return [s for s in scores if s is not None]
 
-    def score(k: int) -> float | None:
-        held_out = F.col("fold") == k
-        return fold_accuracy(estimator.fit(train.where(~held_out)), train.where(held_out))
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return [s for s in pool.map(score, range(folds)) if s is not None]
+def calibrated(train: DataFrame, models: Sequence[Model], classes: int) -> list[tuple[float, float]]:
+    """Sigmoids of the classes from margins on the folds that each model has not seen."""
+    parts = [
+        m.transform(train.where(F.col("fold") == k)).select(
+            "label", vector_to_array("rawPrediction").alias("margins")
+        )
+        for k, m in enumerate(models)
+    ]
+    return calibrate.fit_sigmoids(written(reduce(DataFrame.union, parts), "margins"), classes)
 
 
 @dataclass
@@ -237,56 +293,88 @@ class Prepared:
     chain: PipelineModel
     inputs: Inputs
     ngram_range: tuple[int, int]
+    n_terms: int
 
     def release(self) -> None:
         for part in self.cached:
             part.unpersist()
 
 
-def prepare(
+def prepare_sizes(
     df: DataFrame,
     inputs: Inputs,
-    max_features: int = 5000,
+    sizes: Sequence[int],
     ngram_range: tuple[int, int] = (1, 2),
     test_size: float = 0.2,
     folds: int = 5,
     seed: int = 42,
-) -> Prepared:
-    """Split, fit the vectoriser and the levels on the training part, assemble both parts."""
+) -> dict[int, Prepared]:
+    """Split, fit the vectoriser and the levels on the training part, assemble both parts.
+
+    Texts are tokenised and counted once for all vocabulary sizes: a smaller vocabulary
+    is the beginning of a larger one, so its counts are the beginning of the counts.
+    """
     wanted = [inputs.id_column, inputs.target, *inputs.text, *inputs.numeric, *inputs.categorical]
     table = df.select(*dict.fromkeys(wanted)).where(F.col(inputs.target).isNotNull())
     encoder = features.fit_label_encoder(table, inputs.target).setHandleInvalid("error")
     encoded = features.with_grams(encoder.transform(table), inputs.text, ngram_range)
     train, test = train_test_split(encoded, inputs.id_column, test_size, seed)
-    vectorizer = features.TextVectorizer.fit(train, max_features=max_features)
-    stages, columns, dummies = list(vectorizer.stages), [vectorizer.output, *inputs.numeric], []
+    whole = features.TextVectorizer.fit(train, max_features=max(sizes))
+    lookups, columns, dummies = [], [whole.output, *inputs.numeric], []
     for c in inputs.categorical:
         lookup, vector, levels = features.fit_levels(train, c)
-        stages += lookup
+        lookups += lookup
         columns.append(vector)
         dummies += [f"{c}_{v}" for v in levels]
     assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
-    chain = PipelineModel([*stages, assembler])
-
-    def vectors(part: DataFrame) -> DataFrame:
-        part = chain.transform(features.numeric_features(part, inputs.numeric))
-        return part.select(inputs.id_column, "label", "features")
-
-    folded = with_folds(vectors(train), inputs.id_column, "label", folds, seed)
-    cached = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (folded, vectors(test))]
-    n_train, n_test = (part.count() for part in cached)
-    return Prepared(
-        train=cached[0],
-        test=cached[1],
-        names=[*vectorizer.terms, *inputs.numeric, *dummies],
-        classes=list(encoder.labels),
-        chain=chain,
-        inputs=inputs,
-        ngram_range=tuple(ngram_range),
-        n_train=n_train,
-        n_test=n_test,
-        cached=cached,
-    )
+    to_counts = PipelineModel([whole.stages[0], *lookups])
+    kept = [inputs.id_column, "label", F.col("_tf").alias("_all"), *columns[1:]]
+
+    def counts(part: DataFrame) -> DataFrame:
+        return to_counts.transform(features.numeric_features(part, inputs.numeric)).select(*kept)
+
+    folded = with_folds(counts(train), inputs.id_column, "label", folds, seed)
+    counted = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (folded, counts(test))]
+    out = {}
+    for size in sorted(set(sizes)):
+        vectorizer = whole.first(size)
+        cut = VectorSlicer(inputCol="_all", outputCol="_tf", indices=list(range(len(vectorizer.terms))))
+        weigh = PipelineModel([cut, *vectorizer.stages[1:], assembler])
+        train_columns = [inputs.id_column, "label", "features", "fold"]
+        cached = [
+            weigh.transform(part).select(*columns_).persist(StorageLevel.MEMORY_AND_DISK)
+            for part, columns_ in zip(counted, (train_columns, train_columns[:-1]))
+        ]
+        n_train, n_test = (part.count() for part in cached)
+        out[size] = Prepared(
+            train=cached[0],
+            test=cached[1],
+            names=[*vectorizer.terms, *inputs.numeric, *dummies],
+            classes=list(encoder.labels),
+            chain=PipelineModel([*vectorizer.stages, *lookups, assembler]),
+            inputs=inputs,
+            ngram_range=tuple(ngram_range),
+            n_terms=len(vectorizer.terms),
+            n_train=n_train,
+            n_test=n_test,
+            cached=cached,
+        )
+    for part in counted:
+        part.unpersist()
+    return out
+
+
+def prepare(
+    df: DataFrame,
+    inputs: Inputs,
+    max_features: int = 5000,
+    ngram_range: tuple[int, int] = (1, 2),
+    test_size: float = 0.2,
+    folds: int = 5,
+    seed: int = 42,
+) -> Prepared:
+    """`prepare_sizes` for one vocabulary size."""
+    return prepare_sizes(df, inputs, [max_features], ngram_range, test_size, folds, seed)[max_features]
 
 
 def fit(prepared: Prepared, config: TrainConfig, seed: int = 42) -> Model:
@@ -303,22 +391,28 @@ class Classifier:
     inputs: Inputs
     ngram_range: tuple[int, int]
     classes: list[str]
+    sigmoids: list[tuple[float, float]] | None = None
 
     @classmethod
-    def of(cls, prepared: Prepared, model: Model) -> "Classifier":
-        return cls(prepared.chain, model, prepared.inputs, prepared.ngram_range, prepared.classes)
+    def of(
+        cls, prepared: Prepared, model: Model, sigmoids: list[tuple[float, float]] | None = None
+    ) -> "Classifier":
+        return cls(
+            prepared.chain, model, prepared.inputs, prepared.ngram_range, prepared.classes, sigmoids
+        )
 
     def predict(self, df: DataFrame) -> DataFrame:
         """New rows with `prediction`, `predicted_class` and, where there are any, probabilities."""
         grams = features.with_grams(df, self.inputs.text, self.ngram_range)
         ready = self.chain.transform(features.numeric_features(grams, self.inputs.numeric))
         names = F.array(*map(F.lit, self.classes))
-        scored = predict(self.model, ready.select(*df.columns, "features"))
+        scored = predict(self.model, ready.select(*df.columns, "features"), self.sigmoids)
         return scored.withColumn("predicted_class", F.get(names, F.col("prediction").cast("int")))
 
     def save(self, path: str) -> None:
         PipelineModel([*self.chain.stages, self.model]).write().overwrite().save(f"{path}/model")
         about = {**asdict(self.inputs), "ngram_range": self.ngram_range, "classes": self.classes}
+        about["sigmoids"] = self.sigmoids
         session = SparkSession.active()
         session.range(1).select(F.lit(json.dumps(about)).alias("value")).write.mode("overwrite").text(f"{path}/about")
 
@@ -327,7 +421,8 @@ class Classifier:
         about = json.loads(spark.read.text(f"{path}/about").first()["value"])
         *chain, model = PipelineModel.load(f"{path}/model").stages
         ngram_range, classes = tuple(about.pop("ngram_range")), about.pop("classes")
-        return cls(PipelineModel(chain), model, Inputs(**about), ngram_range, classes)
+        sigmoids = about.pop("sigmoids")
+        return cls(PipelineModel(chain), model, Inputs(**about), ngram_range, classes, sigmoids)
 
 
 def test_scores(predictions: DataFrame, classes: int) -> dict[str, float | None]:
@@ -342,36 +437,145 @@ def test_scores(predictions: DataFrame, classes: int) -> dict[str, float | None]
     return scores
 
 
-def run_config(prepared: Prepared, config: TrainConfig, folds: int = 5, seed: int = 42) -> dict[str, Any]:
+def run_config(
+    prepared: Prepared, config: TrainConfig, folds: int = 5, seed: int = 42, pools: Pools | None = None
+) -> dict[str, Any]:
     """Fit, cross-validate and score one configuration; the row of the results table."""
+    if pools is None:
+        with Pools(prepared.train.sparkSession) as own:
+            return run_config(prepared, config, folds, seed, own)
     start = time.monotonic()
-    estimator = make_classifier(config.algorithm, config.merged(), prepared.n_train, seed)
-    fold_scores = cross_validate(prepared.train, estimator, folds)
-    model = estimator.fit(prepared.train)
-    scores = test_scores(predict(model, prepared.test), len(prepared.classes))
+    merged = config.merged()
+    estimator = make_classifier(config.algorithm, merged, prepared.n_train, seed)
+    whole = pools.submit(config.name, estimator.fit, prepared.train)
+    models = [f.result() for f in fit_folds(pools, config.name, prepared.train, estimator, folds)]
+    found = [fold_accuracy(m, prepared.train.where(F.col("fold") == k)) for k, m in enumerate(models)]
+    fold_scores = [s for s in found if s is not None]
+    k = len(prepared.classes)
+    sigmoids = calibrated(prepared.train, models, k) if config.algorithm == SVM else None
+    model = whole.result()
+    scores = test_scores(predict(model, prepared.test, sigmoids), k)
+    ended = converged(model, merged.get("max_iter"))
+    return _result(prepared, config, time.monotonic() - start, scores, fold_scores, ended)
+
+
+_LOSSES = {"liblinear": linear.LOGISTIC, "lbfgs": linear.SOFTMAX}
+
+
+def is_linear(config: TrainConfig) -> bool:
+    return config.algorithm in (SVM, LOGISTIC)
+
+
+def linear_task(config: TrainConfig, n_rows: int) -> linear.LinearTask:
+    """The configuration for the solver that fits many at once.
+
+    The machine's loss is the squared hinge, which has a gradient everywhere, so that
+    its fit comes to an end.
+    """
+    p = config.merged()
+    if config.algorithm == SVM and p["kernel"] != "linear":
+        raise ValueError(f"no distributed solver for the {p['kernel']} kernel")
+    loss = linear.HINGE if config.algorithm == SVM else _LOSSES[p["solver"]]
+    strength = 1.0 / (p["C"] * max(n_rows, 1))
+    return linear.LinearTask(config.name, loss, strength, p.get("penalty") == "l1", p["max_iter"])
+
+
+def _with_prediction(scored: DataFrame, margins: Column, loss: str, sigmoids) -> DataFrame:
+    """Rows `(label, prediction, probability)` from class margins."""
+    best = F.array_position("_m", F.array_max("_m")) - 1
+    placed = scored.select("label", margins.alias("_m")).withColumn("prediction", best.cast("double"))
+    if loss == linear.SOFTMAX:
+        shifted = placed.withColumn("_e", F.transform("_m", lambda m: F.exp(m - F.array_max("_m"))))
+        total = F.aggregate("_e", F.lit(0.0), lambda a, e: a + e)
+        return shifted.withColumn("probability", F.transform("_e", lambda e: e / total))
+    return calibrate.with_probabilities(placed, F.col("_m"), sigmoids)
+
+
+def run_linear(
+    prepared: Prepared,
+    configs: Sequence[TrainConfig],
+    folds: int = 5,
+    start: dict[tuple[str, int], np.ndarray] | None = None,
+) -> tuple[list[dict[str, Any]], list[linear.LinearFit]]:
+    """Result rows of linear configurations over the same vectors, all fits in the same passes.
+
+    The training time of each is that of all. The machine's probabilities come from
+    margins on rows that a fit has not seen.
+    """
+    began, k = time.monotonic(), len(prepared.classes)
+    tasks = [linear_task(c, prepared.n_train) for c in configs]
+    rows = prepared.train.select("label", "fold", "features")
+    fits = linear.fit_many(rows, tasks, k, folds, start)
+    whole = [f for f in fits if f.fold < 0]
+    parts = [f for f in fits if f.fold >= 0]
+    unseen = written(linear.with_margins(prepared.train, parts), "margins")
+    own = [F.get("margins", F.col("fold") + i * folds) for i in range(len(tasks))]
+    hits = [(F.array_position(m, F.array_max(m)) - 1 == F.col("label")).cast("double") for m in own]
+    by_fold = unseen.groupBy("fold").agg(*[F.avg(h).alias(f"h{i}") for i, h in enumerate(hits)]).collect()
+    tested = written(linear.with_margins(prepared.test, whole), "margins")
+    out = []
+    for i, (config, task) in enumerate(zip(configs, tasks)):
+        sigmoids = [(1.0, 0.0)] * k
+        if task.loss == linear.HINGE:
+            sigmoids = calibrate.fit_sigmoids(unseen.select("label", own[i].alias("margins")), k)
+        predicted = _with_prediction(tested, F.get("margins", F.lit(i)), task.loss, sigmoids)
+        scores = test_scores(predicted, k)
+        fold_scores = [r[f"h{i}"] for r in by_fold]
+        out.append(
+            _result(prepared, config, time.monotonic() - began, scores, fold_scores, whole[i].converged)
+        )
+    return out, fits
+
+
+def _result(prepared: Prepared, config: TrainConfig, seconds: float, scores, fold_scores, ended) -> dict[str, Any]:
     counted = max(len(fold_scores), 1)
     mean = sum(fold_scores) / counted
-    spread = (sum((s - mean) ** 2 for s in fold_scores) / counted) ** 0.5
     return {
         "experiment_name": config.name,
         "algorithm": config.algorithm,
         "status": "success",
-        "training_time": time.monotonic() - start,
+        "training_time": seconds,
         "test_accuracy": scores["accuracy"],
         "test_precision": scores["precision"],
         "test_recall": scores["recall"],
         "test_f1_score": scores["f1_score"],
         "test_roc_auc": scores["roc_auc"],
         "cv_mean_score": mean,
-        "cv_std_score": spread,
+        "cv_std_score": (sum((s - mean) ** 2 for s in fold_scores) / counted) ** 0.5,
         "training_samples": prepared.n_train,
         "test_samples": prepared.n_test,
         "features": len(prepared.names),
         "classes": len(prepared.classes),
+        "converged": ended,
         "error": None,
     }
 
 
+def penalty_path(
+    prepared: Mapping[int, Prepared], configs: Sequence[TrainConfig], folds: int
+) -> dict[str, dict[str, Any]]:
+    """Result rows of linear configurations of one n-gram range, by name.
+
+    Vocabularies follow one another from the smallest, and each fold's fits begin where
+    those of the same loss and penalty ended on the smaller one.
+    """
+    rows, ends = {}, {}
+    for size in sorted({c.max_features for c in configs}):
+        members = [c for c in configs if c.max_features == size]
+        terms = prepared[size].n_terms
+        tasks = {c.name: linear_task(c, prepared[size].n_train) for c in members}
+        start = {}
+        for name, task in tasks.items():
+            for fold in range(-1, folds):
+                known = ends.get((task.loss, task.lasso, fold))
+                if known is not None:
+                    start[name, fold] = linear.extended(known[1], known[0], terms)
+        found, fits = run_linear(prepared[size], members, folds, start)
+        rows |= {r["experiment_name"]: r for r in found}
+        ends |= {(f.task.loss, f.task.lasso, f.fold): (terms, f.weights) for f in fits}
+    return rows
+
+
 def _failed(config: TrainConfig, error: Exception) -> dict[str, Any]:
     return {
         "experiment_name": config.name,
@@ -395,30 +599,51 @@ def sweep(
 ) -> DataFrame:
     """Run every configuration and return one result row each, in the given order.
 
-    Configurations that share an n-gram range and vocabulary size share their
-    feature vectors. A configuration without a solver becomes a `failed` row and the
-    sweep goes on; any other error ends it.
+    Configurations of one n-gram range share one pass over the texts whatever their
+    vocabulary sizes. Linear ones go through `penalty_path`, in which every pass over
+    the rows serves all their fits; forests are fitted beside it, each in its own
+    scheduler pool. The vectors of RANGES_AT_ONCE ranges are kept at a time. A configuration without a solver becomes a `failed` row and the sweep goes
+    on; any other error ends it.
     """
     configs = sweep_configs() if configs is None else list(configs)
     rows: dict[int, dict[str, Any]] = {}
-    groups: dict[tuple, list[int]] = {}
+    groups: dict[tuple[int, int], list[int]] = {}
     for i, c in enumerate(configs):
-        groups.setdefault((tuple(c.ngram_range), c.max_features), []).append(i)
-    for (ngram_range, max_features), members in groups.items():
-        prepared = None
-        build = partial(prepare, df, inputs, max_features, ngram_range, folds=folds, seed=seed)
-        for i in members:
-            try:
-                # a configuration without a solver fails before any features are built
-                make_classifier(configs[i].algorithm, configs[i].merged(), 1, seed)
-            except ValueError as error:  # a cluster that fails is no fault of a configuration
-                rows[i] = _failed(configs[i], error)
-                continue
-            prepared = prepared or build()
-            rows[i] = run_config(prepared, configs[i], folds, seed)
-        if prepared:
-            prepared.release()
-    return results_frame(df.sparkSession, [rows[i] for i in range(len(configs))])
+        try:
+            # a configuration without a solver fails before any features are built
+            make_classifier(c.algorithm, c.merged(), 1, seed)
+        except ValueError as error:  # a cluster that fails is no fault of a configuration
+            rows[i] = _failed(c, error)
+            continue
+        groups.setdefault(tuple(c.ngram_range), []).append(i)
+    spark = df.sparkSession
+    in_thread = inheritable_thread_target(spark)
+
+    def run_range(ngram_range: tuple[int, int], members: list[int], fits: Pools) -> dict[int, dict[str, Any]]:
+        sizes = [configs[i].max_features for i in members]
+        prepared = prepare_sizes(df, inputs, sizes, ngram_range, folds=folds, seed=seed)
+        straight = [configs[i] for i in members if is_linear(configs[i])]
+        # one thread waits for each forest and one for the path, the fits share others
+        with ThreadPoolExecutor(len(members)) as waiting:
+            path = waiting.submit(in_thread(penalty_path), prepared, straight, folds)
+            jobs = {
+                i: waiting.submit(
+                    in_thread(run_config), prepared[configs[i].max_features], configs[i], folds, seed, fits
+                )
+                for i in members
+                if not is_linear(configs[i])
+            }
+            out = {i: job.result() for i, job in jobs.items()}
+            out |= {i: path.result()[configs[i].name] for i in members if is_linear(configs[i])}
+        for part in prepared.values():
+            part.release()
+        return out
+
+    with Pools(spark) as fits, ThreadPoolExecutor(RANGES_AT_ONCE) as running:
+        done = [running.submit(in_thread(run_range), r, m, fits) for r, m in groups.items()]
+        for job in done:
+            rows |= job.result()
+    return results_frame(spark, [rows[i] for i in range(len(configs))])
 
 
 def importances(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 # Options that matter at scale; a cluster may set its own first.
 SETTINGS = {
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
