@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foliospark.operators import dictionary, features, runs, vocabulary
 from foliospark.operators.vocabulary import TermTable
+from foliospark.plans.scratch import written
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def grams(spark):
         words = [f"w{int(rng.paretovariate(0.5)) % 5000}" for _ in range(rng.choice([0, 3, 40, 200]))]
         rows.append((i, words))
     rows.append((None, None))
-    return spark.createDataFrame(rows, "id int, grams array<string>").repartition(4).cache()
+    return written(spark.createDataFrame(rows, "id int, grams array<string>").repartition(4), "grams")
 
 
 def brute_vocabulary(grams, min_df, max_features):
