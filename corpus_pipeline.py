@@ -33,23 +33,35 @@ def _learnable() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.lit(True))
 
 
+def _carried(docs: DataFrame, *more: Column) -> DataFrame:
+    """The text, beside all other columns in one: no name of a stage can meet one of theirs."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(others.alias("own"), "text", *more)
+
+
+def _restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs`, in their order, from rows that carry them."""
+    return rows.select(*[F.col("text") if c == "text" else F.col("own")[c].alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters and those of no known language go, however many known ones a document has.
 
     Of no known language is a text that a background model of n-grams explains better.
     """
     model = fit(docs.where(_learnable()).select("text", "lang"))
-    found = identify(docs.withColumn("_text", F.col("text")), model, text="_text")
+    found = identify(_carried(docs, F.col("text").alias("read")), model, text="read")
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("gain") >= 0)
-    return found.where(known).select(*docs.columns)
+    return _restored(found.where(known), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share go; every document stays."""
-    kept = dedup_lines(docs, min_docs=MIN_DOCS).withColumn("text", F.col("kept_text"))
+    kept = dedup_lines(_carried(docs), min_docs=MIN_DOCS).withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
-    return kept.select(*docs.columns)
+        n_chars = F.char_length("text").cast("long")
+        kept = kept.withColumn("own", F.col("own").withField("n_chars", n_chars))
+    return _restored(kept, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,28 +77,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         .agg(F.count("*").alias("rows"))
         .groupBy("class_key")
         .agg(first.alias("f"), F.max("rows").alias("rows"))
-        .select(F.col("f.doc_id").alias("_doc"), F.col("f.text_key").alias("_key"), (F.col("rows") > 1).alias("_more"))
+        .select(F.col("f.doc_id").alias("doc"), F.col("f.text_key").alias("key"), (F.col("rows") > 1).alias("more"))
     )
     wordy = F.coalesce(F.col("text").rlike(_SOME_WORD), F.lit(False))
-    keyed = docs.where(wordy).withColumn("_text_key", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
+    keyed = _carried(docs.where(wordy), F.xxhash64("text").alias("text_key"))
+    same = F.col("own.doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("key"))
     kept = keyed.join(sized(narrow(stay, "stay")), same)
     # Only rows that may be repeated as a whole have to meet.
-    repeated = kept.where("_more").dropDuplicates(["doc_id", "_text_key"])
-    kept = kept.where("not _more").unionByName(repeated).select(*docs.columns)
-    return kept.unionByName(docs.where(~wordy))
+    repeated = kept.where("more").dropDuplicates(["doc", "text_key"])
+    kept = kept.where("not more").unionByName(repeated)
+    return _restored(kept, docs).unionByName(docs.where(~wordy))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = find_leaks(docs.select("doc_id", "text"), benchmark).select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")
+        F.col("doc_id").alias("doc"), F.col("text_key").alias("key")
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    leaked = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_key"))
+    keyed = _carried(docs, F.xxhash64("text").alias("text_key"))
+    leaked = F.col("own.doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("key"))
     leaks = sized(narrow(leaks.distinct(), "leaks"))
-    return keyed.join(leaks, leaked, "left_anti").select(*docs.columns)
+    return _restored(keyed.join(leaks, leaked, "left_anti"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
