@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from foliospark.llm import decontam, texts
@@ -141,6 +142,26 @@ def test_stages_on_edge_rows(spark, folder, empty):
     assert (out.count() == 0) == empty
 
 
+#: Names that stages and operators use for columns of their own, taken by the input.
+TAKEN = [
+    "score", "gain", "lang_pred", "languages", "shares", "kept_text", "n_lines", "n_dropped", "own", "read", "doc",
+    "key", "more", "text_key", "rows", "f", "_text", "_found", "_t", "_t1", "_t2", "_dropped", "_lines", "_doc",
+    "_key", "_more", "_text_key", "class_key", "component_id", "a.b", "item",
+]
+
+
+def test_stages_keep_the_values_of_all_columns(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in TAKEN])
+    for name, stage in pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows, name
+        for row in rows:
+            assert [row[c] for c in TAKEN] == [f"{c} {row['doc_id']}" for c in TAKEN], name
+
+
 def test_language_stage_keeps_mixtures_of_known_languages(spark):
     known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     words_of = {
