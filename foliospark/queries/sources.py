@@ -14,7 +14,7 @@ from foliospark.queries import views
 from foliospark.queries.registry import query
 from foliospark.queries.views import table, with_views
 from foliospark.schemas import struct
-from foliospark.sources import feed, results, run_store, tabular
+from foliospark.sources import feed, manifest, results, run_store, tabular
 
 # Line breaks inside an XML element and outer space are normalised by the reader,
 # so both sides see the words of the text.
@@ -314,3 +314,70 @@ def _(spark, folder):
     return results.metadata(result_files(spark, folder))
 
 
+
+
+def _tree(spark, folder, changed: bool):
+    """Suppliers as a tree of run and result files; in the changed one every seventh has other values."""
+    suppliers = table(spark, folder, "supplier").where("s_suppkey % 7 = 0" if changed else "true")
+    now = "cast(s_suppkey % 5 + 10 as string)" if changed else "cast(s_suppkey % 5 as string)"
+    return suppliers.selectExpr(
+        f"""inline(array(
+             named_struct('path', concat(cast(s_nationkey as string), '/r', cast(s_suppkey as string), '/meta.yaml'),
+               'content', concat('experiment_id: ', cast(s_nationkey as string), '\nrun_id: r',
+                                 cast(s_suppkey as string), '\nstart_time: 1000\nstatus: ', {now}, '\n')),
+             named_struct('path', concat(cast(s_nationkey as string), '/r', cast(s_suppkey as string), '/metrics/acc'),
+               'content', concat('1 0.5 0\n2 ', {now}, '.25 1\n')),
+             named_struct('path', concat('results/e', cast(s_suppkey as string), '/metrics.json'),
+               'content', concat('{{"test_metrics": {{"accuracy": ', {now}, '.5}}}}')),
+             named_struct('path', concat('results/e', cast(s_suppkey as string), '/model_metadata.yaml'),
+               'content', concat('name: model_', {now}, '\nnested:\n  depth: 3\n'))))"""
+    )
+
+
+def _read_twice(spark, folder, parse):
+    """Both reads of a real tree that changes in between, stacked: `(read, ...)`."""
+    root = new_path(spark, "tree")
+    files = manifest.Folder(spark, root, new_path(spark, "manifest"))
+    out, reads = new_path(spark, "parsed"), []
+    for k in (1, 2):
+        manifest.write_files(_tree(spark, folder, changed=k == 2), root)
+        rows, _ = files.read(parse, out)
+        reads.append(rows.select(F.lit(k).alias("read"), *rows.columns))
+    return reads[0].union(reads[1])
+
+
+_TWICE_SQL = """reads AS (SELECT 1 AS read, s_suppkey, s_nationkey, s_suppkey % 5 AS now FROM supplier
+    UNION ALL SELECT 2, s_suppkey, s_nationkey, s_suppkey % 5 + 10 FROM supplier WHERE s_suppkey % 7 = 0)"""
+
+
+@query(
+    "src_run_store_changes",
+    f"""WITH {_TWICE_SQL}
+        SELECT read, concat('r', s_suppkey) AS run_id, s_nationkey::VARCHAR AS experiment_id, now::INT AS status
+        FROM reads""",
+)
+def _(spark, folder):
+    """Run files read twice; the second time only those that changed."""
+
+    def parse(spark, paths):
+        return run_store.runs(run_store.read_files(spark, paths)).select("run_id", "experiment_id", "status")
+
+    return _read_twice(spark, folder, parse)
+
+
+@query(
+    "src_result_changes",
+    f"""WITH {_TWICE_SQL}
+        SELECT read, concat('e', s_suppkey) AS run_name, now + 0.5e0 AS accuracy, concat('model_', now) AS model
+        FROM reads""",
+)
+def _(spark, folder):
+    """Result and metadata files read twice; the second time only those that changed."""
+
+    def parse(spark, paths):
+        files = results.read_files(spark, paths)
+        scores = results.results(files).select("run_name", F.col("metric_test_accuracy").alias("accuracy"))
+        names = results.metadata(files).where("key = 'name'").select("run_name", F.col("value").alias("model"))
+        return scores.join(names, "run_name")
+
+    return _read_twice(spark, folder, parse)

@@ -13,8 +13,8 @@ METADATA_FILE = r"([^/]+)/model_metadata\.yaml$"
 SCALAR_LINE = r"(?m)^([A-Za-z_]\w*):[ \t]+(\S.*?)[ \t\r]*$"
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """Rows `(path, content)` of all result and metadata files under a folder."""
+def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Rows `(path, content)` of all result and metadata files under a folder, or of those named."""
     files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     wanted = path.rlike(RESULT_FILE) | path.rlike(METADATA_FILE)

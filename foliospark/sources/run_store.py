@@ -17,8 +17,11 @@ RUN_META = r"([^/]+)/([^/]+)/meta\.yaml$"
 KEY_FILE = r"([^/]+)/([^/]+)/(params|metrics|tags)/(.+)$"
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """Rows `(path, content)` of the files that belong to the layout; artefacts are skipped."""
+def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Rows `(path, content)` of the files that belong to the layout; artefacts are skipped.
+
+    `root` is a folder, or the files that have changed since the last read.
+    """
     files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     wanted = path.rlike(RUN_META) | path.rlike(KEY_FILE)

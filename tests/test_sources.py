@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from foliospark.operators import runs
 from foliospark.schemas import PUBLICATION, struct
-from foliospark.sources import feed, results, run_store, tabular
+from foliospark.sources import feed, manifest, results, run_store, tabular
 from foliospark.streaming import jobs
 
 FEED = """<?xml version="1.0"?>
@@ -120,19 +122,56 @@ def test_results(spark, tmp_path):
     assert set(joined) == {"RF", "LR"} and joined["LR"]["metric_test_accuracy"] is None
 
 
+def test_broken_entries_cost_only_themselves(spark, tmp_path):
+    part = "<id>http://x/{0}</id><title>T{0}</title><summary>S</summary><published>2020-01-02T0</published><updated>2021-01-01</updated>"
+    whole = "<entry>" + part + "<arxiv:doi>10/{0}</arxiv:doi></entry>"
+    texts = [whole.format(1), whole.format(2).replace("</title>", ""), whole.format(3).replace("</entry>", ""),
+             whole.format(4), "<entry><id>5</id></entry>", whole.format(6).replace("<entry>", "<entry a='1'>")]
+    (tmp_path / "f.xml").write_text("<feed>\n" + "\n".join(texts) + "\n</feed>")
+    (tmp_path / "cut.xml").write_text("<feed>" + whole.format(7) + whole.format(8)[:60])
+    good, bad = feed.split_entries(feed.read_feed(spark, str(tmp_path)))
+    rows = feed.publications_from_entries(good).collect()
+    assert {(r["arxiv_id"], r["doi"]) for r in rows} == {(str(i), f"10/{i}") for i in (1, 4, 6, 7)}
+    reasons = {r["id"]: r["malformed"] for r in bad.select(feed.rejected_id().alias("id"), (F.col(feed.CORRUPT).isNotNull()).alias("malformed")).collect()}
+    assert reasons == {"http://x/2": True, "http://x/3": True, "5": False, "http://x/8": True}
+
+
+def test_folder_reads_only_changes(spark, tmp_path):
+    root = tmp_path / "tree"
+    write_run(root, "aa", "A", 1, 2, 3, {}, {})
+    write_run(root, "bb", "B", 1, 2, 3, {}, {})
+    known = manifest.Folder(spark, str(root), str(tmp_path / "seen"))
+    parse = lambda s, paths: run_store.runs(run_store.read_files(s, paths)).select("run_id", "status")
+    read = lambda: [sorted(map(tuple, x.collect())) for x in known.read(parse, str(tmp_path / "out"))]
+    assert read() == [[("aa", 3), ("bb", 3)], []]
+    assert read() == [[], []]
+    meta = root / "317" / "bb" / "meta.yaml"
+    meta.write_text(meta.read_text().replace("status: 3", "status: 10"))
+    (root / "317" / "aa" / "tags" / "mlflow.runName").rename(root / "317" / "aa" / "tags" / "other")
+    rows, gone = read()
+    assert rows == [("bb", 10)] and len(gone) == 1 and gone[0][0].endswith("aa/tags/mlflow.runName")
+
+
 def test_stream_timeouts(spark, tmp_path):
-    day = dt.timedelta(days=1)
+    """Timers are moved by signs of life, taken away by an end, and outlive a restart."""
     t0 = dt.datetime(2024, 1, 1)
-    starts = spark.createDataFrame([(1, t0), (2, t0), (3, t0), (4, t0 + 90 * day)], "run_id bigint, started timestamp")
-    ends = spark.createDataFrame([(1, t0 + day), (2, t0 + 40 * day), (9, t0 + 95 * day)], "run_id bigint, ended timestamp")
-    for name, df in (("s", starts), ("e", ends)):
-        df.write.parquet(str(tmp_path / name))
-    read = lambda name, df: jobs.read_stream(spark, str(tmp_path / name), df.schema)
-    out = str(tmp_path / "out")
-    jobs.watch_timeouts(read("s", starts), read("e", ends), 24 * 10, out, str(tmp_path / "mark"))
-    got = spark.read.parquet(out).collect()
-    assert sorted(r["run_id"] for r in got) == [2, 3]
-    assert {r["deadline"] for r in got} == {t0 + 10 * day}
+    at = lambda days: t0 + dt.timedelta(days=days)
+    S, A, E = jobs.STARTED, jobs.ALIVE, jobs.ENDED
+    parts = [
+        [(1, at(0), S), (2, at(0), S), (3, at(0), S), (4, at(0), S), (5, at(1), S), (8, at(0), E), (9, at(1), "odd")],
+        [(1, at(5), E), (3, at(8), A), (5, at(9), E), (6, at(9), S)],
+        [(4, at(14), E), (3, at(17), A), (6, at(16), A)],
+        [(7, at(30), S)],
+        [(2, at(31), E), (7, at(39), A), (6, at(31), S)],
+    ]
+    schema, out = "run_id bigint, ts timestamp, kind string", str(tmp_path / "out")
+    for k, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if k in (1, 4):  # two runs over the same checkpoint
+            stream = jobs.read_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=1)
+            jobs.watch_timeouts(stream, 24 * 10, out, str(tmp_path / "mark"))
+    got = {(r["run_id"], r["deadline"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(2, at(10)), (4, at(10)), (3, at(27)), (6, at(26))}
 
 
 def test_struct_helper_needs_no_session():
