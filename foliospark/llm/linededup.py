@@ -5,20 +5,27 @@ is first merge-anti-joined with the lines that are already known to be common,
 the rest becomes a sorted run of the lowest level, and as soon as a level has
 `fanout` runs they are merged into one run of the next level. All of it is
 DataFrame code.
+
+All batches of a call are cut into lines and counted in one pass over the texts,
+each batch by itself; they then enter the runs one after the other. A batch is a
+share of the texts by their hash, so equal texts are in one batch.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.tables import narrow
+from foliospark.llm.tables import few_files, narrow, numbered_column, numbered_columns, own_columns
 from foliospark.plans.scratch import new_path, written
 
 EDGES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _KEY = ["_h1", "_h2"]
 _TEXT = ["_t1", "_t2"]
+_ADDED = ["kept_text", "n_lines", "n_dropped"]
 
 
 def lowered(text: Column) -> Column:
@@ -39,6 +46,10 @@ def _hashed(value: Column, names: list[str]) -> Column:
     )
 
 
+def _together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
 class LineRuns:
     """How many documents hold each line, kept as levels of sorted runs in the shared folder.
 
@@ -46,7 +57,7 @@ class LineRuns:
     again. Every other line is in some runs with a part of its count.
     """
 
-    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 4):
+    def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 3):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
         self.levels: list[list[DataFrame]] = []
         self.settled: list[DataFrame] = []
@@ -55,9 +66,9 @@ class LineRuns:
         return written(rows.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY), label)
 
     def _without_settled(self, rows: DataFrame) -> DataFrame:
-        for lines in self.settled:
-            rows = rows.join(lines.hint("merge"), _KEY, "left_anti")
-        return rows
+        if not self.settled:
+            return rows
+        return rows.join(_together(self.settled).hint("merge"), _KEY, "left_anti")
 
     def add(self, counts: DataFrame, level: int = 0) -> None:
         """Take in a batch: one row (_h1, _h2, n) for each of its lines."""
@@ -69,16 +80,12 @@ class LineRuns:
             self._compact(level)
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
-        return rows.groupBy(*_KEY).agg(F.sum("n").alias("n"))
+        return _together(runs).groupBy(*_KEY).agg(F.sum("n").alias("n"))
 
     def _compact(self, level: int) -> None:
         merged = written(self._merged(self.levels[level]), f"merged{level}")
         self.levels[level] = []
-        many = self._sorted(merged.where(F.col("n") >= self.min_docs).select(*_KEY), "settled")
-        self.settled.append(many)
+        self.settled.append(self._sorted(merged.where(F.col("n") >= self.min_docs).select(*_KEY), "settled"))
         self.add(merged.where(F.col("n") < self.min_docs), level + 1)
 
     def common(self) -> DataFrame:
@@ -88,17 +95,14 @@ class LineRuns:
         if runs:
             rest = self._without_settled(self._merged(runs))
             found.append(rest.where(F.col("n") >= self.min_docs).select(*_KEY))
-        rows = found[0]
-        for more in found[1:]:
-            rows = rows.unionByName(more)
-        return narrow(rows, "common_lines")
+        return narrow(_together(found), "common_lines")
 
 
 def _batched_counts(docs: DataFrame, text: str, batches: int) -> str:
     """Per batch, the lines and the number of documents with each; the path they are at."""
     value = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).alias("_batch"),
+        F.pmod(F.xxhash64(value), F.lit(batches)).cast("int").alias("_batch"),
         F.explode(
             F.array_distinct(
                 F.transform(
@@ -110,7 +114,7 @@ def _batched_counts(docs: DataFrame, text: str, batches: int) -> str:
     ).select("_batch", "_k.*")
     path = new_path(docs.sparkSession, "line_batches")
     counts = lines.groupBy("_batch", *_KEY).agg(F.count("*").alias("n"))
-    counts.write.partitionBy("_batch").parquet(path)
+    few_files(counts).write.partitionBy("_batch").parquet(path)
     return path
 
 
@@ -118,17 +122,19 @@ def dedup_lines(
     docs: DataFrame,
     min_docs: int = 10,
     text: str = "text",
-    batches: int = 4,
-    fanout: int = 4,
+    batches: int = 12,
+    fanout: int = 3,
 ) -> DataFrame:
     """Drop each line whose key at least `min_docs` rows hold; `docs` with three more columns.
 
     Adds `kept_text` (the other lines joined by newlines), `n_lines` and `n_dropped`
-    (long); columns of these names are replaced. Every row is a document, repeated
-    rows too. A null or empty text is one empty line; empty keys are never dropped;
+    (long); columns of these names are replaced, all others keep their values. Every
+    row is a document, repeated rows too. A null or empty text is one empty line; empty keys are never dropped;
     a null text stays null. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    given, text = docs, numbered_column(docs, text)
+    docs = numbered_columns(docs)
     path = _batched_counts(docs, text, batches)
     counted = spark.read.schema("_h1 long, _h2 long, n long, _batch int").parquet(path)
     runs = LineRuns(spark, min_docs, fanout)
@@ -152,19 +158,19 @@ def dedup_lines(
         .agg(F.collect_set("_at").alias("_dropped")),
         "dropped_lines",
     )
-    own = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
     split = (
-        docs.select(*own, _hashed(value, _TEXT).alias("_t"))
-        .select(*own, F.col("_t._t1").alias("_t1"), F.col("_t._t2").alias("_t2"))
+        docs.select("*", _hashed(value, _TEXT).alias("_t"))
+        .select(*docs.columns, F.col("_t._t1").alias("_t1"), F.col("_t._t2").alias("_t2"))
         .join(dropped, _TEXT, "left")
-        .select(*own, "_dropped", F.split(value, "\n").alias("_lines"))
+        .select(*docs.columns, "_dropped", F.split(value, "\n").alias("_lines"))
     )
     n = F.size("_lines")
     kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("_dropped"))
     joined = F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n")
-    return split.select(
-        *own,
+    done = split.select(
+        *docs.columns,
         F.when(F.col("_dropped").isNull(), F.col(text)).otherwise(joined).alias("kept_text"),
         n.cast("long").alias("n_lines"),
         F.coalesce(F.array_size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+    return own_columns(done, given, _ADDED)

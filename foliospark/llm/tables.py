@@ -1,4 +1,4 @@
-"""Narrow tables in few files."""
+"""Narrow tables in few files, and columns under names of their own."""
 
 from __future__ import annotations
 
@@ -19,6 +19,25 @@ def few_files(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def numbered_columns(docs: DataFrame) -> DataFrame:
+    """`docs` with its columns named in0, in1, ...: no name of an operator can meet one of theirs.
+
+    An operator's own columns never start with `in`; `own_columns` gives the names back.
+    """
+    return docs.toDF(*[f"in{i}" for i in range(len(docs.columns))])
+
+
+def numbered_column(docs: DataFrame, name: str) -> str:
+    """What `numbered_columns` calls the column `name`."""
+    return f"in{docs.columns.index(name)}"
+
+
+def own_columns(rows: DataFrame, docs: DataFrame, added: list[str]) -> DataFrame:
+    """`rows` of numbered columns under the names of `docs` again, and the `added` ones, which replace."""
+    kept = [F.col(f"in{i}").alias(c) for i, c in enumerate(docs.columns) if c not in added]
+    return rows.select(*kept, *added)
+
+
 def narrow(df: DataFrame, label: str) -> DataFrame:
     """`written` for narrow rows."""
     return written(few_files(df), label)

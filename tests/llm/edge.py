@@ -7,7 +7,9 @@ import random
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     # names the operators use for their own columns
-    "score double, row long, k long, n_words long, kept_text string, _text string, piece int"
+    "score double, row long, k long, n_words long, kept_text string, _text string, piece int, "
+    "_t string, _t1 string, _found string, _dropped string, _lines string, _key string, _at int, "
+    "found string, gain double, n_lines long, in0 string"
 )
 
 
@@ -28,7 +30,19 @@ def rows() -> list[tuple]:
     out = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
     out += [out[7], out[7], (None, base, None, None, None), (None, None, None, None, None), out[0]]
     out += [(100 + i, f"same line\n{prose(50 + i, 30)}", "de", "hot", 1) for i in range(12)]
-    return [(*r, 0.5, 7, 8, 9, "mine", "mine", 3) for r in out]
+    extra = ("t", "t1", "found", "dropped", "lines", "key", 5, "found it", 0.25, 6, "in")
+    return [(*r, 0.5, 7, 8, 9, "mine", "mine", 3, *extra) for r in out]
+
+
+def kept_columns(out, replaced):
+    """The rows of all columns but the replaced ones, to be compared with `kept_rows`."""
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    return sorted(repr([r[n] for n in names if n not in replaced]) for r in out)
+
+
+def kept_rows(replaced):
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    return sorted(repr([v for n, v in zip(names, r, strict=True) if n not in replaced]) for r in rows())
 
 
 def frame(spark, empty: bool = False):

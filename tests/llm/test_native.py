@@ -47,9 +47,31 @@ def test_runs_settle_and_compact(spark):
     assert sorted(r._h1 for r in runs.common().collect()) == [1, 2]
 
 
+def test_later_batches_meet_settled_lines(spark, monkeypatch):
+    """At the defaults, lines settled by the first batches are taken out of the later ones."""
+    met = []
+    plain = LineRuns._without_settled
+
+    def watched(self, rows):
+        left = plain(self, rows)
+        if self.settled:
+            met.append(rows.count() - left.count())
+        return left
+
+    monkeypatch.setattr(LineRuns, "_without_settled", watched)
+    docs = [(i, f"common line\n{edge.prose(i, 5)}") for i in range(300)]
+    out = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), min_docs=10)
+    assert [r.n_dropped for r in out.select("n_dropped").collect()] == [1] * 300
+    assert len(met) >= 9 and sum(met) >= 6
+
+
 def test_kept_text_and_other_columns(spark):
     out = dedup_lines(edge.frame(spark), min_docs=10)
     assert out.count() == len(edge.rows())
+    replaced = ["kept_text", "n_lines"]
+    assert edge.kept_columns(out.collect(), replaced) == edge.kept_rows(replaced)
+    dotted = edge.frame(spark).withColumnRenamed("source", "a.b")
+    assert "a.b" in dedup_lines(dotted).columns
     got = {r.doc_id: r for r in out.collect()}
     assert got[13].kept_text == edge.prose(4, 20) and got[13].score == 0.5
     assert got[14].kept_text == edge.prose(5, 20) + "\n\nend" and got[14].n_dropped == 1
