@@ -1,17 +1,19 @@
 """Documents dealt to a fixed number of shards of near equal bytes, equal texts together.
 
-Best fit, largest first: groups of equal texts enter the shard with the least
-remaining capacity that still holds them. Groups that matter by themselves are
-placed one by one; their number is bounded, because each holds a fixed share of all
-bytes. The multitude of smaller groups is placed in bundles of groups of the same
-size (within a sixty-fourth), whose number is bounded too, and whose bytes are a
-small part of a shard. The driver sees sizes of bundles, never documents.
+Groups of equal texts enter, largest first, the shard with the least remaining
+capacity that still holds them. Groups of the same bytes are interchangeable, so the
+plan needs only how many groups there are of each: every group is placed, whatever
+its part of the whole. Groups of n different bytes hold at least n * n / 2 bytes, so
+there are at most as many rows of that histogram as the square root of twice the
+corpus. The driver sees them and never a group or a document; Spark then deals the
+plan's places to the groups.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,71 +23,144 @@ from foliospark.llm.tables import few_files, narrow
 from foliospark.plans.scratch import written
 
 SHARDS = 16
-#: A group of more than 1 / LARGE of all bytes is placed by itself.
-LARGE = 1 << 14
-#: Bundles per class of sizes; classes are a sixty-fourth of a power of two wide.
-SPREAD = 64
 _KEY = ["_h1", "_h2"]
 
 
-class _Capacities:
-    """Remaining capacities in order, for searches in logarithmic time."""
+class _Node(NamedTuple):
+    """A subtree of bins in the order of (remaining capacity, shard)."""
+
+    height: int
+    bin: tuple[int, int]
+    left: _Node | None
+    right: _Node | None
+
+
+def _height(node: _Node | None) -> int:
+    return node.height if node else 0
+
+
+def _joined(bin: tuple[int, int], left: _Node | None, right: _Node | None) -> _Node:
+    """A subtree whose sides differ by one in height, from sides that differ by two at most."""
+    if _height(left) > _height(right) + 1:
+        if _height(left.left) < _height(left.right):
+            inner = left.right
+            return _joined(inner.bin, _joined(left.bin, left.left, inner.left), _joined(bin, inner.right, right))
+        return _joined(left.bin, left.left, _joined(bin, left.right, right))
+    if _height(right) > _height(left) + 1:
+        if _height(right.right) < _height(right.left):
+            inner = right.left
+            return _joined(inner.bin, _joined(bin, left, inner.left), _joined(right.bin, inner.right, right.right))
+        return _joined(right.bin, _joined(bin, left, right.left), right.right)
+    return _Node(1 + max(_height(left), _height(right)), bin, left, right)
+
+
+def inserted(node: _Node | None, bin: tuple[int, int]) -> _Node:
+    if node is None:
+        return _Node(1, bin, None, None)
+    if bin < node.bin:
+        return _joined(node.bin, inserted(node.left, bin), node.right)
+    return _joined(node.bin, node.left, inserted(node.right, bin))
+
+
+def removed(node: _Node, bin: tuple[int, int]) -> _Node | None:
+    if bin < node.bin:
+        return _joined(node.bin, removed(node.left, bin), node.right)
+    if bin > node.bin:
+        return _joined(node.bin, node.left, removed(node.right, bin))
+    if node.left is None or node.right is None:
+        return node.left or node.right
+    after = node.right
+    while after.left:
+        after = after.left
+    return _joined(after.bin, node.left, removed(node.right, after.bin))
+
+
+def tightest(node: _Node | None, size: int) -> tuple[int, int] | None:
+    """The bin with the least remaining capacity that holds `size`."""
+    best = None
+    while node:
+        if node.bin[0] >= size:
+            best, node = node.bin, node.left
+        else:
+            node = node.right
+    return best
 
-    def __init__(self, shards: int, capacity: int):
-        self.order = [(capacity, s) for s in range(shards)]
 
-    def tightest(self, size: int) -> int | None:
-        at = bisect_left(self.order, (size, -1))
-        if at == len(self.order):
-            return None
-        left, shard = self.order.pop(at)
-        insort(self.order, (left - size, shard))
-        return shard
+#: (bytes of a group, number of groups, shard)
+Place = tuple[int, int, int]
 
 
-def place(sizes: list[int], shards: int = SHARDS) -> list[int]:
-    """The shard of each item by best fit, largest first, in the least capacity that holds all.
+def fitted(counts: list[tuple[int, int]], shards: range, capacity: int) -> list[Place] | None:
+    """Best fit into shards of a capacity, counts largest first; None if a group finds no room.
 
-    The capacity starts from the mean, or the largest item; one that is too small
-    grows by hundredths of the mean and is then bisected.
+    A shard that takes a group stays the tightest one as long as it holds another of
+    the same bytes, so it takes as many of them at once as it holds.
     """
-    if not sizes:
-        return []
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    mean = -(-sum(sizes) // shards)
-
-    def fitted(capacity: int) -> list[int] | None:
-        bins, out = _Capacities(shards, capacity), [0] * len(sizes)
-        for i in order:
-            shard = bins.tightest(sizes[i])
-            if shard is None:
+    bins: _Node | None = None
+    for shard in shards:
+        bins = inserted(bins, (capacity, shard))
+    out = []
+    for size, left in counts:
+        while left:
+            found = tightest(bins, size)
+            if found is None:
                 return None
-            out[i] = shard
-        return out
+            room, shard = found
+            taken = min(left, room // size)
+            bins = inserted(removed(bins, found), (room - taken * size, shard))
+            out.append((size, taken, shard))
+            left -= taken
+    return out
+
+
+def place(counts: dict[int, int], shards: int = SHARDS) -> list[Place]:
+    """Shards for `counts[bytes]` groups of each number of bytes, in the least capacity that holds all.
 
-    least = max(mean, sizes[order[0]])
-    most, found = least, fitted(least)
+    A group of more than the mean of what is left has a shard for itself. For the rest
+    the capacity starts from the mean; one that is too small grows by doubled steps
+    and is then bisected.
+    """
+    order = sorted(((size, n) for size, n in counts.items() if n), reverse=True)
+    total, alone = sum(size * n for size, n in order), []
+    while order and len(alone) < shards - 1 and order[0][0] * (shards - len(alone)) > total:
+        size, n = order.pop(0)
+        alone.append((size, 1, len(alone)))
+        total -= size
+        if n > 1:
+            order.insert(0, (size, n - 1))
+    if not order:
+        return alone
+    others = range(len(alone), shards)
+    least = most = -(-total // len(others))
+    step, found = 1, fitted(order, others, least)
     while found is None:
-        least, most = most, most + max(1, mean // 100)
-        found = fitted(most)
-    for _ in range(12):
+        least, most, step = most, most + step, 2 * step
+        found = fitted(order, others, most)
+    while most - least > 1:
         middle = (least + most) // 2
-        tried = fitted(middle)
+        tried = fitted(order, others, middle)
         if tried is None:
             least = middle
         else:
             most, found = middle, tried
-    return found
+    return alone + found
 
 
 def _hashes(text: Column) -> Column:
     return F.struct(F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2"))
 
 
-def _size_class(size: Column) -> Column:
-    """Sizes of one class differ by less than a sixty-fourth."""
-    power = F.floor(F.log2(size.cast("double")))
-    return (power * 64 + F.floor((size / F.pow(F.lit(2.0), power) - 1) * 64)).cast("long")
+def _ranges(places: list[Place]) -> pa.Table:
+    """Which ranks among the groups of the same bytes go to which shard."""
+    used: dict[int, int] = {}
+    rows = []
+    for size, n, shard in places:
+        first = used.get(size, 0)
+        used[size] = first + n
+        rows.append((size, first, first + n, shard))
+    names = ["bytes", "first", "end", "shard"]
+    columns = np.array(rows, np.int64).reshape(-1, len(names)).T
+    return pa.Table.from_arrays([pa.array(c) for c in columns], names)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -93,8 +168,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str =
 
     Returns key, size (UTF-8 bytes and 1), text_crc32, shard and slot (0, 1, ... within
     the shard). A null text is an empty one. Shards can only be as equal as groups of
-    equal texts allow. Repeated rows each take a place. An empty table gives an empty
-    table.
+    equal texts allow. Which of the groups of the same bytes goes to which shard is
+    arbitrary, and so is the order of slots. Repeated rows each take a place. An empty
+    table gives an empty table.
     """
     spark = docs.sparkSession
     value = F.coalesce(F.col(text), F.lit(""))
@@ -108,29 +184,14 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", key: str =
         ).select("_row", "_doc", "size", "text_crc32", "_h.*"),
         "sizes",
     )
-    groups = narrow(rows.groupBy(*_KEY).agg(F.sum("size").alias("bytes")), "groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    large = F.col("bytes") > total // LARGE
-    classed = groups.select(
-        *_KEY,
-        "bytes",
-        F.when(large, F.lit(-1)).otherwise(_size_class(F.col("bytes"))).alias("_class"),
-        F.when(large, F.col("_h1")).otherwise(F.pmod("_h1", F.lit(SPREAD))).alias("_part"),
-    )
-    # At most LARGE groups by themselves, and SPREAD bundles for each of a few thousand classes.
-    bundles = classed.groupBy("_class", "_part").agg(F.sum("bytes").alias("bytes")).collect()
-    bundles.sort(key=lambda b: (b["_class"], b["_part"]))
-    chosen = place([b["bytes"] for b in bundles], shards)
-    dealt = spark.createDataFrame(
-        pa.table(
-            {
-                "_class": pa.array([b["_class"] for b in bundles], pa.int64()),
-                "_part": pa.array([b["_part"] for b in bundles], pa.int64()),
-                "shard": pa.array(chosen, pa.int32()),
-            }
-        )
-    )
-    homes = classed.join(dealt, ["_class", "_part"]).select(*_KEY, "shard")
+    summed = few_files(rows.groupBy(*_KEY).agg(F.sum("size").alias("bytes")))
+    groups = written(summed.withColumn("_group", F.monotonically_increasing_id()), "groups")
+    counts = groups.groupBy("bytes").agg(F.count("*").alias("n")).toArrow()
+    sizes = dict(zip(counts["bytes"].to_pylist(), counts["n"].to_pylist(), strict=True))
+    dealt = spark.createDataFrame(_ranges(place(sizes, shards)))
+    ranked = numbered(groups, "bytes", "_group", "rank")
+    inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))
+    homes = ranked.join(dealt, "bytes").where(inside).select(*_KEY, F.col("shard").cast("int").alias("shard"))
     placed = narrow(
         rows.join(homes, _KEY).select("_row", "_doc", "size", "text_crc32", "shard"), "placed"
     )
