@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.tables import numbered_column, numbered_columns, own_columns
 from foliospark.llm.texts import ALNUM, flat, slices, small_batches
 
 BUCKETS = 1 << 15
@@ -225,7 +226,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = ("lang_pred", "score", "languages", "shares", "gain")
+    names = ["lang_pred", "score", "languages", "shares", "gain"]
 
     @F.arrow_udf("struct<lang_pred: string, score: double, languages: array<string>, shares: array<double>, gain: double>")
     def found(texts: pa.Array) -> pa.Array:
@@ -238,8 +239,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.StructArray.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            list(names),
+            names,
         )
 
-    own = [c for c in docs.columns if c not in names]
-    return docs.select(*own, found(F.col(text)).alias("_found")).select(*own, "_found.*")
+    plain = numbered_columns(docs)
+    scored = plain.select("*", found(F.col(numbered_column(docs, text))).alias("found"))
+    return own_columns(scored.select(*plain.columns, "found.*"), docs, names)

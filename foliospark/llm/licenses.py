@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.tables import numbered_column, numbered_columns, own_columns
 from foliospark.llm.texts import ALNUM, slices, small_batches, words
 
 
@@ -36,7 +37,7 @@ BASE = {
     "mit license": "mit",
 }
 
-_V = "(?: v| version| v version)?"
+_V = "(?: ?v| version| v version)?"
 #: Names: label, keywords, expression of the name; {n} stands for each of the versions.
 _NAMES: list[tuple[str, str, str, list[str]]] = [
     ("apache-{}", "apache", f"apache(?: software)? license{_V} ?{{n}}", ["1.0", "1.1", "2.0"]),
@@ -86,16 +87,31 @@ _NAMES: list[tuple[str, str, str, list[str]]] = [
     ("qpl-1.0", "public", "q public licen[cs]e", []),
     ("public-domain", "domain", "(?:in|into|to) the public domain", []),
 ]
+#: Short forms, only with a version: label, keywords, expression of the name, versions.
+_SHORT: list[tuple[str, str, str, list[str]]] = [
+    ("apache-{}", "apache", f"apache(?: software)?{_V} ?{{n}}", ["1.1", "2.0"]),
+    ("apache-{}", "asl", f"asl{_V} ?{{n}}", ["1.1", "2.0"]),
+    ("gpl-{}", "gnu", f"gnu gpl{_V} ?{{n}}", ["1.0", "2.0", "3.0"]),
+    ("gfdl-{}", "gfdl", f"gfdl{_V} ?{{n}}", ["1.1", "1.2", "1.3"]),
+    ("epl-{}", "epl", f"epl{_V} ?{{n}}", ["1.0", "2.0"]),
+    ("eupl-{}", "eupl", f"eupl{_V} ?{{n}}", ["1.0", "1.1", "1.2"]),
+    ("cddl-{}", "cddl", f"cddl{_V} ?{{n}}", ["1.0", "1.1"]),
+    ("osl-{}", "osl", f"osl{_V} ?{{n}}", ["1.0", "2.0", "2.1", "3.0"]),
+    ("ofl-{}", "ofl", f"ofl{_V} ?{{n}}", ["1.0", "1.1"]),
+    ("odbl-{}", "odbl", f"odbl{_V} ?{{n}}", ["1.0"]),
+    ("boost-{}", "bsl", f"bsl{_V} ?{{n}}", ["1.0"]),
+]
 _CC = {"by": "attribution", "by-sa": "attribution share ?alike", "by-nd": "attribution no ?deriv(?:ative)?s(?: works)?",
        "by-nc": "attribution non ?commercial", "by-nc-sa": "attribution non ?commercial share ?alike",
        "by-nc-nd": "attribution non ?commercial no ?deriv(?:ative)?s(?: works)?"}
 _CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
-#: Sentences of the licences themselves: label, keywords, expression.
+#: Sentences of the licences themselves: label, keywords, expression. All keywords stand in the
+#: expression, but for `apache`: other licences have its sentence too.
 _TEXTS = [
     ("mit", "permission granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "permission granted", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", "permission purpose", "permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution binary", "redistribution and use in source and binary forms with or without modification"),
-    ("bsd-3-clause", "endorse products", "neither the name of .{1,80}? nor the names of its contributors may be used to endorse"),
+    ("bsd-3-clause", "endorse contributors", "neither the name of .{1,80}? nor the names of its contributors may be used to endorse"),
     ("bsd-4-clause", "advertising features", "all advertising materials mentioning features or use of this software"),
     ("apache-2.0", "apache compliance", "you may not use this file except in compliance with the licen[cs]e"),
     ("gpl", "redistribute gnu", "you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e"),
@@ -104,8 +120,8 @@ _TEXTS = [
     ("gpl", "free foundation", "published by the free software foundation"),
     ("mpl-2.0", "mozilla subject", "this source code form is subject to the terms of the mozilla public licen[cs]e"),
     ("unlicense", "unencumbered domain", "this is free and unencumbered software released into the public domain"),
-    ("zlib", "altered misrepresented", "altered source versions must be plainly marked as such"),
-    ("boost-1.0", "boost accompanying", "distributed under the boost software licen[cs]e"),
+    ("zlib", "altered plainly", "altered source versions must be plainly marked as such"),
+    ("boost-1.0", "boost distributed", "distributed under the boost software licen[cs]e"),
     ("public-domain", "domain dedicated", "dedicated to the public domain"),
     ("proprietary", "rights reserved", "all rights reserved"),
     ("proprietary", "proprietary confidential", "proprietary and confidential"),
@@ -148,6 +164,9 @@ def _named() -> list[tuple[str, str, str]]:
         bare = pattern.removesuffix(f"{_V} ?{{n}}")
         if not versions or bare != pattern:
             out.append((label.removesuffix("-{}"), keywords, bare))
+    for label, keywords, pattern, versions in _SHORT:
+        for v in versions:
+            out.append((label.format(v), keywords, pattern.replace("{n}", v.replace(".", " ") + r"(?! \d)")))
     for code, name in reversed(_CC.items()):
         short = f"cc {code.replace('-', ' ')}"
         for v in _CC_VERSIONS:
@@ -186,18 +205,32 @@ def rules() -> list[Rule]:
 
 
 def detections(joined: bytes, ruled: list[Rule]) -> list[tuple[int, int, str, float]]:
-    """What the rules find in joined words, less what lies inside a detection of better priority."""
-    found = []
+    """What the rules find in joined words, less what lies inside a detection of better priority.
+
+    A detection inside a suppressed one lies inside what suppressed that, so all detections
+    of better priority count, kept or not. Of equal intervals of one priority the first rule's stays.
+    """
+    by_priority: dict[int, list[tuple[int, int, str, float]]] = {}
     for rule in ruled:
         if all(k in joined for k in rule.keywords):
-            found += [
-                (rule.priority, m.start(m.lastindex or 0), m.end(), rule.label, rule.confidence)
-                for m in rule.pattern.finditer(joined)
-            ]
+            for m in rule.pattern.finditer(joined):
+                one = (m.start(m.lastindex or 0), m.end(), rule.label, rule.confidence)
+                by_priority.setdefault(rule.priority, []).append(one)
     kept: list[tuple[int, int, str, float]] = []
-    for _, start, end, label, confidence in sorted(found, key=lambda d: (d[0], d[1] - d[2], d[1])):
-        if not any(a <= start and end <= b for a, b, _, _ in kept):
-            kept.append((start, end, label, confidence))
+    # Starts of all detections of better priority, in order, and the furthest end up to each.
+    begins, reach = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for priority in sorted(by_priority):
+        group = sorted(by_priority[priority], key=lambda d: (d[0], -d[1]))
+        starts, ends = np.array([d[:2] for d in group], np.int64).T
+        at = np.searchsorted(begins, starts, side="right")
+        covered = np.append(reach, -1)[at - 1] if len(begins) else np.full(len(group), -1)
+        covered[at == 0] = -1
+        # The longer ones of the same priority stand before those inside them.
+        covered[1:] = np.maximum(covered[1:], np.maximum.accumulate(ends)[:-1])
+        kept += [d for d, inside in zip(group, covered >= ends, strict=True) if not inside]
+        begins, reach = np.append(begins, starts), np.append(reach, ends)
+        order = np.argsort(begins, kind="stable")
+        begins, reach = begins[order], np.maximum.accumulate(reach[order])
     return sorted(kept)
 
 
@@ -206,8 +239,11 @@ def scan(text: bytes, ruled: list[Rule]) -> tuple[list[int], set[str], set[str],
     joined = b" ".join(_WORD.findall(text))
     starts, base, score = [], set(), 0.0
     for label, pattern in _BASE_RULES:
+        at = before = 0
         for m in pattern.finditer(joined):
-            starts.append(joined.count(b" ", 0, m.start()))
+            before += joined.count(b" ", at, m.start())
+            at = m.start()
+            starts.append(before)
             base.add(label)
             score = 0.6
     kept = detections(joined, ruled)
@@ -234,12 +270,14 @@ def _ready() -> tuple[list[Rule], list[tuple[bytes, ...]]]:
 
 
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with what the rules find in each whole text; columns of these names are replaced.
+    """`docs` with what the rules find in each whole text; columns of these names are replaced,
+    all others keep their values.
 
     Adds n_words, n_base (places of base phrases), first_word, last_word (their
     smallest and largest start, null without any), base_labels, labels (distinct,
     sorted, joined by commas, empty without any) and score (0 to 1, the best
-    confidence). A null text has no words. Rows are never dropped or merged.
+    confidence). A null text has no words. Rows are never dropped or merged; an empty
+    table gives an empty table.
     """
     small_batches(docs.sparkSession)
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -270,5 +308,6 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
         )
 
-    own = [c for c in docs.columns if c not in names]
-    return docs.select(*own, found(F.col(text)).alias("_found")).select(*own, "_found.*")
+    plain = numbered_columns(docs)
+    scored = plain.select("*", found(F.col(numbered_column(docs, text))).alias("found"))
+    return own_columns(scored.select(*plain.columns, "found.*"), docs, names)

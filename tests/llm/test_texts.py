@@ -2,7 +2,9 @@
 
 import re
 import zlib
+import time
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +97,11 @@ def test_license_base_columns_equal_brute_force(spark, folder):
         assert {x for _, x in places} <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+def test_license_scan_keeps_columns(spark):
+    out = licenses.scan_licenses(edge.frame(spark)).collect()
+    assert edge.kept_columns(out, ["score", "n_words"]) == edge.kept_rows(["score", "n_words"])
+
+
 def test_license_rules_and_suppression():
     ruled = licenses.rules()
     assert len(ruled) > 300 and [r.priority for r in ruled] == sorted(r.priority for r in ruled)
@@ -134,6 +141,60 @@ def test_license_identifiers_and_bare_names():
     assert labels("under the terms of the Mozilla Public License 2.0") == ["mpl-2.0"]
 
 
+def test_license_short_forms():
+    ruled = licenses.rules()
+
+    def labels(text):
+        return sorted(licenses.scan(text.lower().encode(), ruled)[2])
+
+    for name, label in [
+        ("GPLv3", "gpl-3.0"), ("GPLv2+", "gpl-2.0"), ("GPL-2.0", "gpl-2.0"), ("GPL v3", "gpl-3.0"), ("LGPLv3", "lgpl-3.0"),
+        ("LGPLv2.1", "lgpl-2.1"), ("AGPLv3", "agpl-3.0"), ("GNU GPL version 3", "gpl-3.0"), ("EUPL v1.2", "eupl-1.2"),
+        ("Apache 2.0", "apache-2.0"), ("ASL 2.0", "apache-2.0"), ("MPLv2", "mpl-2.0"), ("EPL 2.0", "epl-2.0"),
+        ("CDDL 1.1", "cddl-1.1"), ("GFDL 1.3", "gfdl-1.3"), ("OFL 1.1", "ofl-1.1"), ("ODbL 1.0", "odbl-1.0"),
+    ]:
+        assert labels(f"It comes under {name}, as a whole") == [label], name
+    for clean in ["the apache helicopter", "Apache 2.4 server", "he won the EPL in 2 seasons", "an osl of 11", "gplan"]:
+        assert labels(clean) == [], clean
+
+
+def slow_detections(joined, ruled):
+    """All rules without gates, each detection compared with all that are kept."""
+    found = []
+    for rule in ruled:
+        for m in rule.pattern.finditer(joined):
+            found.append((rule.priority, m.start(m.lastindex or 0), m.end(), rule.label, rule.confidence))
+    kept = []
+    for _, start, end, label, confidence in sorted(found, key=lambda d: (d[0], d[1] - d[2], d[1])):
+        if not any(a <= start and end <= b for a, b, _, _ in kept):
+            kept.append((start, end, label, confidence))
+    return sorted(kept)
+
+
+PHRASES = st.sampled_from(
+    ["mit license", "licensed under the", "terms of the", "apache license", "version 2 0", "gnu", "lesser", "gplv3",
+     "general public license", "gpl", "2", "0", "spdx license identifier", "mit", "or", "apache 2 0", "word", "cc by",
+     "sa", "4 0", "published by the free software foundation", "distributed under the boost software license",
+     "bsd 3 clause", "license", "public domain", "dedicated to the", "all rights reserved"]
+)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(PHRASES, max_size=25))
+def test_suppression_equals_all_pairs(phrases):
+    ruled = licenses._ready()[0]
+    joined = " ".join(phrases).encode()
+    assert licenses.detections(joined, ruled) == slow_detections(joined, ruled)
+
+
+def test_long_text_full_of_licenses():
+    ruled = licenses._ready()[0]
+    begin = time.perf_counter()
+    starts, _, labels, _ = licenses.scan(b"mit license " * 170_000, ruled)
+    assert len(starts) == 170_000 and starts[-1] == 339_998 and "mit" in labels
+    assert time.perf_counter() - begin < 15
+
+
 def test_gates_let_all_detections_through():
     ruled, gates = licenses._ready()
     for rule in ruled:
@@ -231,14 +292,64 @@ def test_shards(spark, folder):
     rows = [(r[0], r[1]) for r in edge.rows()]
     largest = max(Counter({t: 0 for _, t in rows} | {}).keys(), key=lambda t: len(t or ""))
     check_shards(sharding.shard(edge.frame(spark)).collect(), rows, 2 * len(largest.encode()))
+    assert len({r.shard for r in sharding.shard(edge.frame(spark)).collect()}) == 16
     assert sharding.shard(edge.frame(spark, empty=True)).count() == 0
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=60), st.integers(1, 6), st.integers(50, 400))
+def test_fitting_equals_one_by_one(sizes, shards, capacity):
+    bins = [(capacity, s) for s in range(shards)]
+    for size in sorted(sizes, reverse=True):
+        able = [b for b in bins if b[0] >= size]
+        if not able:
+            bins = None
+            break
+        room, s = min(able)
+        bins[s] = (room - size, s)
+    found = sharding.fitted(sorted(Counter(sizes).items(), reverse=True), range(shards), capacity)
+    assert (found is None) == (bins is None)
+    if found is not None:
+        taken = Counter()
+        for size, n, s in found:
+            taken[s] += size * n
+        assert [capacity - taken[s] for s in range(shards)] == [room for room, _ in bins]
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 50), max_size=40), st.integers(1, 6))
-def test_placing_fits(sizes, shards):
-    placed = sharding.place(sizes, shards)
-    assert len(placed) == len(sizes) and set(placed) <= set(range(shards))
+@given(st.lists(st.integers(1, 50), max_size=8), st.integers(1, 4))
+def test_placing_against_all_ways(sizes, shards):
+    placed = sharding.place(dict(Counter(sizes)), shards)
+    loads, counts = Counter(), Counter()
+    for size, n, s in placed:
+        loads[s] += size * n
+        counts[size] += n
+    assert counts == Counter(sizes) and set(loads) <= set(range(shards))
+    least = min(max(np.bincount(way, sizes, shards)) for way in product(range(shards), repeat=len(sizes))) if sizes else 0
+    assert max(loads.values(), default=0) <= 1.25 * least
+
+
+def test_placing_apart_from_a_giant():
+    placed = sharding.place({5000: 1, 300: 2, **dict.fromkeys(range(1, 60), 3)}, 8)
+    loads = Counter()
+    for size, n, s in placed:
+        loads[s] += size * n
+    others = sorted(loads.values())[:-1]
+    assert loads[0] == 5000 and len(loads) == 8 and max(others) - min(others) <= 10
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.booleans()), max_size=80))
+def test_tree_of_bins(steps):
+    tree, held = None, []
+    for i, (room, out) in enumerate(steps):
+        if out and held:
+            tree = sharding.removed(tree, held.pop(room % len(held)))
+        else:
+            held.append((room, i))
+            tree = sharding.inserted(tree, held[-1])
+        assert all(sharding.tightest(tree, s) == min((b for b in held if b[0] >= s), default=None) for s in range(32))
+        assert (tree.height if tree else 0) <= 1.45 * np.log2(len(held) + 2)
 
 
 def test_languages_held_out(spark):
@@ -257,6 +368,7 @@ def test_language_mixture_and_edges(spark, folder):
     assert lead == "en" and set(members) == {"en", "fr"} and abs(shares[0] - 2 / 3) < 0.1
     out = langid.identify(edge.frame(spark), model).collect()
     assert len(out) == len(edge.rows())
+    assert edge.kept_columns(out, ["score", "gain"]) == edge.kept_rows(["score", "gain"])
     for r in out:
         letters = any(map(str.isalpha, r.text or ""))
         assert (r.lang_pred == "und") == (not letters) and 0 <= r.score <= 1
