@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.schemas import EXPERIMENT_RESULT
+from foliospark.sources import manifest
 
 # File names inside an experiment directory.
 RESULT_FILE = r"([^/]+)/metrics\.json$"
@@ -13,12 +14,15 @@ METADATA_FILE = r"([^/]+)/model_metadata\.yaml$"
 SCALAR_LINE = r"(?m)^([A-Za-z_]\w*):[ \t]+(\S.*?)[ \t\r]*$"
 
 
-def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+def read_files(spark: SparkSession, root: str | list[str] | DataFrame) -> DataFrame:
     """Rows `(path, content)` of all result and metadata files under a folder, or of those named."""
-    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
-    path = F.col("_metadata.file_path")
-    wanted = path.rlike(RESULT_FILE) | path.rlike(METADATA_FILE)
-    return files.where(wanted).select(path.alias("path"), F.col("value").alias("content"))
+    if isinstance(root, DataFrame):
+        files = manifest.contents(root)
+    else:
+        files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
+        files = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    path = F.col("path")
+    return files.where(path.rlike(RESULT_FILE) | path.rlike(METADATA_FILE))
 
 
 def results(files: DataFrame) -> DataFrame:

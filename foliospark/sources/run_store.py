@@ -11,21 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import WHITESPACE_RUN, strip_whitespace
+from foliospark.sources import manifest
 
 # Where the parts of the layout are in a path.
 RUN_META = r"([^/]+)/([^/]+)/meta\.yaml$"
 KEY_FILE = r"([^/]+)/([^/]+)/(params|metrics|tags)/(.+)$"
 
 
-def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+def read_files(spark: SparkSession, root: str | list[str] | DataFrame) -> DataFrame:
     """Rows `(path, content)` of the files that belong to the layout; artefacts are skipped.
 
-    `root` is a folder, or the files that have changed since the last read.
+    `root` is a folder, or the files that have changed since the last read, as paths or a table of them.
     """
-    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
-    path = F.col("_metadata.file_path")
-    wanted = path.rlike(RUN_META) | path.rlike(KEY_FILE)
-    return files.where(wanted).select(path.alias("path"), F.col("value").alias("content"))
+    if isinstance(root, DataFrame):
+        files = manifest.contents(root)
+    else:
+        files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
+        files = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    path = F.col("path")
+    return files.where(path.rlike(RUN_META) | path.rlike(KEY_FILE))
 
 
 def yaml_value(key: str) -> Column:
