@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from foliospark.operators import monitor
 from foliospark.sources import feed
@@ -108,59 +108,48 @@ def ingest_feed(spark: SparkSession, path: str, out: str, checkpoint: str) -> Pr
 
 
 STARTED, ALIVE, ENDED = "started", "alive", "ended"
-_TIMEOUTS = "run_id long, started timestamp, deadline timestamp"
 
+#: Kinds in the order in which events of one moment count.
+_KINDS = [STARTED, ALIVE, ENDED]
+_OPEN = "started long, deadline long"
 
-class TimeoutWatch(StatefulProcessor):
-    """Per run: its start and deadline, and a timer on the deadline.
 
-    A start arms the timer, a sign of life moves it, an end in time takes it away.
+def _watch(limit: int):
+    """A function from a run's events of a micro-batch to its row when its time is up; milliseconds all through.
+
+    The state is the start and the deadline, on which the timeout stands: a start sets it,
+    a sign of life moves it, an end in time takes it away.
     """
 
-    def __init__(self, seconds: float):
-        self.limit = int(seconds * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.run = handle.getValueState("run", "started long, deadline long")
-
-    def _arm(self, started: int, deadline: int) -> None:
-        if self.run.exists():
-            self.handle.deleteTimer(self.run.get()[1])
-        self.run.update((started, deadline))
-        self.handle.registerTimer(deadline)
-
-    def _late(self, key: tuple) -> Iterator[pd.DataFrame]:
-        started, deadline = self.run.get()
-        self.run.clear()
-        times = [pd.Timestamp(t, unit="ms") for t in (started, deadline)]
-        yield pd.DataFrame({"run_id": [key[0]], "started": [times[0]], "deadline": [times[1]]})
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        events = [(int(r.ts.value // 1_000_000), r.kind) for part in rows for r in part.itertuples(index=False)]
-        order = {STARTED: 0, ALIVE: 1, ENDED: 2}
-        for ts, kind in sorted(events, key=lambda e: (e[0], order[e[1]])):
-            if kind == STARTED and not self.run.exists():
-                self._arm(ts, ts + self.limit)
-                continue
-            if not self.run.exists():
-                continue
-            started, deadline = self.run.get()
-            if ts > deadline:  # its time was up before this event
-                self.handle.deleteTimer(deadline)
-                yield from self._late(key)
-            elif kind == ALIVE:
-                self._arm(started, max(deadline, ts + self.limit))
-            elif kind == ENDED:
-                self.handle.deleteTimer(deadline)
-                self.run.clear()
-
-    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if self.run.exists():
-            yield from self._late(key)
-
-    def close(self) -> None:
-        pass
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept = state.get if state.exists else None
+        late = []
+        if state.hasTimedOut:
+            late, kept = [kept], None
+        else:
+            events = [e for p in parts for e in zip(p["ms"].to_list(), p["kind"].to_list())]
+            for at, kind in sorted(events):
+                if kept is None:
+                    kept = (at, at + limit) if kind == 0 else None
+                elif at > kept[1]:  # its time was up before this event
+                    late.append(kept)
+                    kept = None
+                elif kind == 1:
+                    kept = (kept[0], max(kept[1], at + limit))
+                elif kind == 2:
+                    kept = None
+            if kept is not None and kept[1] < state.getCurrentWatermarkMs():
+                late.append(kept)
+                kept = None
+        if kept is not None:
+            state.update(kept)
+            state.setTimeoutTimestamp(kept[1])
+        elif state.exists:
+            state.remove()
+        if late:
+            yield pd.DataFrame({"run_id": [key[0]] * len(late), "started": [x[0] for x in late], "deadline": [x[1] for x in late]})
+
+    return run
 
 
 def watch_timeouts(
@@ -171,18 +160,22 @@ def watch_timeouts(
     `events(run_id long, ts, kind)` with the kinds started, alive and ended. A run is
     reported when the watermark passes its deadline or a later event of it comes, and
     then forgotten; a run that ends in time leaves the state with its end. Events of
-    unknown runs and those that come after the watermark change nothing. The state is
-    one row and one timer for each open run, kept in RocksDB.
+    unknown runs, without a time and those that come after the watermark change nothing. The state is
+    one row with its timeout for each open run, kept in RocksDB. It comes to Python and goes
+    back beside the events, many runs in one Arrow batch.
     """
     spark = events.sparkSession
-    known = [STARTED, ALIVE, ENDED]
-    grouped = events.where(F.col("kind").isin(known)).withWatermark("ts", delay).groupBy("run_id")
-    reported = grouped.transformWithStateInPandas(
-        statefulProcessor=TimeoutWatch(max_hours * 3600),
-        outputStructType=_TIMEOUTS,
-        outputMode="Append",
-        timeMode="EventTime",
+    known = events.where(F.col("kind").isin(_KINDS) & F.col("ts").isNotNull()).withWatermark("ts", delay)
+    place = F.array_position(F.array(*map(F.lit, _KINDS)), F.col("kind")) - 1
+    numbered = known.select("run_id", "ts", F.unix_millis("ts").alias("ms"), place.cast("int").alias("kind"))
+    late = numbered.groupBy("run_id").applyInPandasWithState(
+        _watch(int(max_hours * 3_600_000)),
+        "run_id long, started long, deadline long",
+        _OPEN,
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
+    reported = late.select("run_id", *[F.timestamp_millis(c).alias(c) for c in ("started", "deadline")])
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
