@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.functions import text
 from foliospark.operators import dictionary, features, runs, vocabulary
 from foliospark.operators.vocabulary import TermTable
 from foliospark.plans.scratch import written
@@ -144,3 +145,42 @@ def test_texts_are_cut_into_words_once(spark):
     assert "regexp_replace" not in stored._jdf.queryExecution().executedPlan().toString().lower()
     made = features.with_grams(df, ["body"], (1, 2)).select("id", "grams")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, made.collect()))
+
+
+@pytest.fixture(scope="module")
+def worded(spark):
+    rng = random.Random(2)
+    docs = [[f"w{int(rng.paretovariate(0.8)) % 300}" for _ in range(rng.choice([0, 1, 2, 30, 90]))] for _ in range(200)]
+    rows = [(i, w) for i, w in enumerate([*docs, ["é", "é", "é"], ["a b", "c"], None, docs[7]])]
+    return written(spark.createDataFrame(rows, "id int, words array<string>").repartition(4), "words")
+
+
+@pytest.mark.parametrize("low, high, min_df, size", [(1, 1, 2, 50), (1, 2, 1, 90), (2, 4, 2, 400), (1, 2, 2, 10**6)])
+def test_vocabulary_of_words_is_that_of_their_ngrams(spark, worded, monkeypatch, low, high, min_df, size):
+    grams = worded.select(text.ngrams("words", low, high).alias("grams"))
+    n_docs = features.document_count(worded)
+    wanted = sorted(brute_vocabulary(grams, min_df, size))
+    monkeypatch.setattr(vocabulary, "SLICE_ITEMS", 500)
+    assert wanted == sorted(
+        tuple(r) for r in vocabulary.fit_word_vocabulary(worded, n_docs, "words", (low, high), min_df, max_features=size).collect()
+    )
+    monkeypatch.setattr(vocabulary, "_likely_least", lambda *_: 10**7)  # a bad guess is found out
+    assert wanted == sorted(
+        tuple(r) for r in vocabulary.fit_word_vocabulary(worded, n_docs, "words", (low, high), min_df, max_features=size).collect()
+    )
+
+
+def test_terms_of_one_key_stay_apart(spark):
+    words = pa.array([["a", "b"], ["c"], None, ["b", "b", "a"]], pa.list_(pa.string()))
+    keys = pa.array([[5, 5], [5], None, [5, 5, 5]], pa.list_(pa.int64()))  # all words have the same key
+    wanted = type("Sent", (), {"value": np.ones((vocabulary.ROWS, 1 << vocabulary.TOTAL_BITS), bool)})
+    parts = vocabulary._key_terms(1, 1, wanted)(iter([pa.RecordBatch.from_arrays([words, keys], ["w", "k"])]))
+    got = {r["term"]: (r["total"], r["df"]) for p in parts for r in p.to_pylist()}
+    assert got == {"a": (2, 2), "b": (3, 2), "c": (1, 1)}
+
+
+def test_fitting_on_words_makes_no_ngrams(spark, worded, monkeypatch):
+    monkeypatch.setattr(vocabulary, "fit_vocabulary", None)
+    monkeypatch.setattr(vocabulary.text, "ngrams", None)
+    fitted = features.TextVectorizer.fit(worded, max_features=40, words="words", ngram_range=(1, 2))
+    assert len(fitted.terms) == 40
