@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.scores import split_hash
-from foliospark.operators import calibrate, evaluate, features, forest, linear
+from foliospark.operators import calibrate, evaluate, features, forest, linear, vocabulary
 from foliospark.plans.ordering import join_null_safe, running_totals
 from foliospark.plans.scratch import written
 
@@ -129,10 +129,10 @@ def train_test_split(
     return df.where(is_train), df.where(~is_train)
 
 
-def with_folds(
+def fold_numbers(
     df: DataFrame, id_column: str, label: str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
-    """Add a fold number: within each class, rows are dealt out in hash order.
+    """Rows `(id, fold)`: within each class, rows are dealt out in hash order.
 
     Rows without a class are dealt out as a class of their own. Keys are unique.
 
@@ -143,8 +143,14 @@ def with_folds(
     ranked = running_totals(
         hashed, ["_h", id_column], {"_rank": F.lit(1).cast("bigint")}, [label]
     )
-    dealt = ranked.select(id_column, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int").alias("fold"))
-    return join_null_safe(df, dealt, [id_column])
+    return ranked.select(id_column, F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int").alias("fold"))
+
+
+def with_folds(
+    df: DataFrame, id_column: str, label: str, folds: int = 5, seed: int = 42
+) -> DataFrame:
+    """Add the fold number of `fold_numbers`."""
+    return join_null_safe(df, fold_numbers(df, id_column, label, folds, seed), [id_column])
 
 
 def make_classifier(algorithm: str, params: Mapping[str, Any], n_rows: int, seed: int = 42) -> Estimator:
@@ -332,9 +338,12 @@ def prepare_sizes(
     kept = [inputs.id_column, "label", F.col("_tf").alias("_all"), *columns[1:]]
 
     def counts(part: DataFrame) -> DataFrame:
-        return to_counts.transform(features.numeric_features(part, inputs.numeric)).select(*kept)
+        known = vocabulary.known_grams(part, whole.terms, "_words", ngram_range, others, whole.grams)
+        return to_counts.transform(features.numeric_features(known, inputs.numeric)).select(*kept)
 
-    folded = with_folds(counts(train), inputs.id_column, "label", folds, seed)
+    # numbered from the rows before they are counted, as the numbering reads them several times
+    numbers = fold_numbers(features.numeric_features(train, inputs.numeric), inputs.id_column, "label", folds, seed)
+    folded = join_null_safe(counts(train), numbers, [inputs.id_column])
     counted = [part.persist(StorageLevel.MEMORY_AND_DISK) for part in (folded, counts(test))]
     out = {}
     for size in sorted(set(sizes)):

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import text
-from foliospark.operators import dictionary, features, runs, vocabulary
+from foliospark.operators import dictionary, features, model, runs, vocabulary
 from foliospark.operators.vocabulary import TermTable
 from foliospark.plans.scratch import written
 
@@ -184,3 +185,54 @@ def test_fitting_on_words_makes_no_ngrams(spark, worded, monkeypatch):
     monkeypatch.setattr(vocabulary.text, "ngrams", None)
     fitted = features.TextVectorizer.fit(worded, max_features=40, words="words", ngram_range=(1, 2))
     assert len(fitted.terms) == 40
+
+
+@pytest.mark.parametrize("low, high", [(1, 1), (1, 2), (1, 3), (2, 3), (2, 2)])
+def test_known_grams_are_those_of_the_vocabulary(spark, grams, low, high, monkeypatch):
+    """All other n-grams are left out, whatever the rows a batch holds; words run on into no other row."""
+    monkeypatch.setattr(vocabulary, "SLICE_ITEMS", 150)
+    words = grams.withColumn("place", F.when(F.col("id") % 3 == 0, F.col("id").cast("double")))
+    made = {}
+    for r in words.collect():
+        w = r["grams"] or []
+        made[r["id"]] = [" ".join(w[i : i + n]) for n in range(low, high + 1) for i in range(len(w) - n + 1)]
+    total = Counter(g for d in made.values() for g in d)
+    terms = [g for g, n in total.items() if n >= 3][:500] + [" ".join(["w1", "w0", "w2"][:high])]
+    terms = list(dict.fromkeys(terms))
+    found = vocabulary.known_grams(words, terms, "grams", (low, high), ["place", "id"], "known")
+    rows = found.collect()
+    assert found.columns == ["place", "id", "known"] and len(rows) == len(made)
+    assert sum(len(r["known"]) for r in rows) > 50
+    for r in rows:
+        assert sorted(r["known"]) == sorted(g for g in made[r["id"]] if g in set(terms))
+        assert r["place"] == (r["id"] if r["id"] is not None and r["id"] % 3 == 0 else None)
+
+
+def test_prepared_vectors_are_those_of_the_whole_chain(spark):
+    """Rows counted from known n-grams have the vectors that the fitted chain gives to all n-grams."""
+    rng = random.Random(3)
+    rows = [
+        (i, rng.choice(["a", "b"]), " ".join(f"w{rng.randrange(30)}" for _ in range(rng.choice([0, 1, 2, 40]))),
+         None if i % 7 == 0 else float(i % 5), rng.choice(["x", "y", None]))
+        for i in range(120)
+    ]
+    df = spark.createDataFrame(rows, "id long, kind string, body string, size double, place string").repartition(3)
+    inputs = model.Inputs("id", "kind", ["body"], ["size"], ["place"])
+    prepared = model.prepare(df, inputs, max_features=90)
+    table = features.numeric_features(features.with_grams(df, ["body"]), ["size"])
+    wanted = {r["id"]: r["features"] for r in prepared.chain.transform(table).select("id", "features").collect()}
+    found = [r for part in (prepared.train, prepared.test) for r in part.collect()]
+    assert sorted(r["id"] for r in found) == list(range(120))
+    assert all(r["features"] == wanted[r["id"]] for r in found)
+    prepared.release()
+
+
+def test_words_of_odd_texts(spark):
+    odd = ["", None, "a bb _ __ c1", "Ünï\u0308x ß\u00e9 \U0001d400\U0001d401x x\U0001d400", "\u4e2d \u4e2d\u6587,\u6587", "1 22\n\t the THE", "a\U0001d400" * 9000]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    for stop in (None, ["the", "bb"]):
+        for lower in (True, False):
+            cased = [(t or "").lower() if lower else t or "" for t in odd]
+            wanted = [[w for w in re.split(r"[^\w]+", t) if len(w) > 1 and w not in (stop or [])] for t in cased]
+            wanted[3] = [w for p in re.split(r"[^\w]+", cased[3].replace("\u0308", " ")) for w in [p] if len(w) > 1]
+            assert [r[0] for r in df.select(text.tokens("t", stop, lower)).collect()] == wanted
