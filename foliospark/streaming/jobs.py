@@ -11,6 +11,7 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,15 +112,30 @@ STARTED, ALIVE, ENDED = "started", "alive", "ended"
 
 #: Kinds in the order in which events of one moment count.
 _KINDS = [STARTED, ALIVE, ENDED]
-_OPEN = "started long, deadline long"
+#: Groups that runs are dealt to by a hash of their id; a checkpoint holds as many.
+_GROUPS = 1 << 8
+_OPEN = "open binary"
 
+#: Start and deadline of an open run in milliseconds; none for one that is not open.
+_Kept = tuple[int, int] | None
 
-def _watch(limit: int):
-    """A function from a run's events of a micro-batch to its row when its time is up; milliseconds all through.
 
-    The state is the start and the deadline, on which the timeout stands: a start sets it,
-    a sign of life moves it, an end in time takes it away.
+def _follow(kept: _Kept, at: int, kind: int, limit: int) -> tuple[_Kept, _Kept]:
+    """A run after an event, and what it is reported with if its time was up before that event.
+
+    A start sets the deadline, a sign of life moves it, an end in time takes it away.
     """
+    if kept is None:
+        return ((at, at + limit) if kind == 0 else None), None
+    if at > kept[1]:
+        return None, kept
+    if kind == 1:
+        return (kept[0], max(kept[1], at + limit)), None
+    return (None if kind == 2 else kept), None
+
+
+def _watch(limit: int):
+    """A function from the events of one run to its row when its time is up: the rule of `_watch_group` for a run alone."""
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = state.get if state.exists else None
@@ -129,15 +145,9 @@ def _watch(limit: int):
         else:
             events = [e for p in parts for e in zip(p["ms"].to_list(), p["kind"].to_list())]
             for at, kind in sorted(events):
-                if kept is None:
-                    kept = (at, at + limit) if kind == 0 else None
-                elif at > kept[1]:  # its time was up before this event
-                    late.append(kept)
-                    kept = None
-                elif kind == 1:
-                    kept = (kept[0], max(kept[1], at + limit))
-                elif kind == 2:
-                    kept = None
+                kept, reported = _follow(kept, at, kind, limit)
+                if reported is not None:
+                    late.append(reported)
             if kept is not None and kept[1] < state.getCurrentWatermarkMs():
                 late.append(kept)
                 kept = None
@@ -152,6 +162,54 @@ def _watch(limit: int):
     return run
 
 
+def _packed(runs: dict[int | None, tuple[int, int]]) -> bytes:
+    return np.array([(k is not None, k or 0, *v) for k, v in runs.items()], np.int64).tobytes()
+
+
+def _unpacked(held: bytes) -> dict[int | None, tuple[int, int]]:
+    rows = np.frombuffer(held, np.int64).reshape(-1, 4).tolist()
+    return {run if known else None: (started, deadline) for known, run, started, deadline in rows}
+
+
+def _watch_group(limit: int):
+    """A function from a group's events of a micro-batch to the rows of its runs whose time is up.
+
+    The state is the start and the deadline of each open run of the group, its timeout the first
+    of the deadlines.
+    """
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        runs = _unpacked(state.get[0]) if state.exists else {}
+        late = []
+        if not state.hasTimedOut:
+            columns = zip(*([p[c].to_numpy() for c in ("run_id", "known", "ms", "kind")] for p in parts))
+            ids, known, ms, kinds = map(np.concatenate, columns)
+            order = np.lexsort((kinds, ms))
+            of = ids[order].tolist() if known.all() else np.where(known, ids, None)[order].tolist()
+            for k, at, kind in zip(of, ms[order].tolist(), kinds[order].tolist()):
+                before = runs.get(k)
+                kept, reported = _follow(before, at, kind, limit)
+                if reported is not None:
+                    late.append((k, *reported))
+                if kept is not None:
+                    runs[k] = kept
+                elif before is not None:
+                    del runs[k]
+        passed = state.getCurrentWatermarkMs()
+        for k in [k for k, kept in runs.items() if kept[1] < passed]:
+            late.append((k, *runs.pop(k)))
+        if runs:
+            state.update((_packed(runs),))
+            state.setTimeoutTimestamp(min(deadline for _, deadline in runs.values()))
+        elif state.exists:
+            state.remove()
+        if late:
+            found = zip(*late)
+            yield pd.DataFrame({c: pd.array(v, "Int64") for c, v in zip(("run_id", "started", "deadline"), found)})
+
+    return run
+
+
 def watch_timeouts(
     events: DataFrame, max_hours: float, out: str, checkpoint: str, delay: str = "1 hour"
 ) -> Progress:
@@ -160,16 +218,21 @@ def watch_timeouts(
     `events(run_id long, ts, kind)` with the kinds started, alive and ended. A run is
     reported when the watermark passes its deadline or a later event of it comes, and
     then forgotten; a run that ends in time leaves the state with its end. Events of
-    unknown runs, without a time and those that come after the watermark change nothing. The state is
-    one row with its timeout for each open run, kept in RocksDB. It comes to Python and goes
-    back beside the events, many runs in one Arrow batch.
+    unknown runs, without a time and those that come after the watermark change nothing. Runs are
+    dealt to _GROUPS groups, so that a call, a state and a timeout serve all events and open runs of a
+    group. The state of a group is one row of its open runs, kept in RocksDB, with their first
+    deadline as its timeout. It comes to Python and goes back beside the events.
     """
     spark = events.sparkSession
     known = events.where(F.col("kind").isin(_KINDS) & F.col("ts").isNotNull()).withWatermark("ts", delay)
     place = F.array_position(F.array(*map(F.lit, _KINDS)), F.col("kind")) - 1
-    numbered = known.select("run_id", "ts", F.unix_millis("ts").alias("ms"), place.cast("int").alias("kind"))
-    late = numbered.groupBy("run_id").applyInPandasWithState(
-        _watch(int(max_hours * 3_600_000)),
+    numbered = known.select(
+        F.pmod(F.xxhash64("run_id"), F.lit(_GROUPS)).cast("int").alias("group"),
+        F.coalesce("run_id", F.lit(0).cast("long")).alias("run_id"), F.col("run_id").isNotNull().alias("known"),
+        "ts", F.unix_millis("ts").alias("ms"), place.cast("int").alias("kind"),
+    )
+    late = numbered.groupBy("group").applyInPandasWithState(
+        _watch_group(int(max_hours * 3_600_000)),
         "run_id long, started long, deadline long",
         _OPEN,
         "append",
